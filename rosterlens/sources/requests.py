@@ -136,7 +136,7 @@ class Requests:
         # Parsed once for the several tables below, which keeps their plans short as well.
         parsed = cut_lineage(parse_requests(raw))
         self._limit = broadcast_rows
-        self._accepted = parsed.where(F.col("reason").isNull()).drop("reason")
+        self.accepted = parsed.where(F.col("reason").isNull()).drop("reason")
         self.rejected = parsed.where(F.col("reason").isNotNull()).select("req_id", "reason")
         self.spark = raw.sparkSession
 
@@ -145,7 +145,7 @@ class Requests:
         def network(one_id):
             return F.element_at(F.filter("networks", lambda n: n["network_id"] == one_id), 1)
 
-        return self._accepted.select(
+        return self.accepted.select(
             "req_id",
             "client_id",
             "base_id",
@@ -167,7 +167,7 @@ class Requests:
 
     @cached_property
     def members(self) -> DataFrame:
-        return self._accepted.select("req_id", F.inline("networks")).select(
+        return self.accepted.select("req_id", F.inline("networks")).select(
             "req_id",
             "network_id",
             "network_name",
@@ -195,7 +195,7 @@ class Requests:
 
     @cached_property
     def counties(self) -> DataFrame:
-        return self._accepted.select("req_id", F.explode("counties").alias("fips"))
+        return self.accepted.select("req_id", F.explode("counties").alias("fips"))
 
     @cached_property
     def rows(self) -> int:
@@ -204,7 +204,7 @@ class Requests:
             "networks", F.lit(0), lambda n, network: n + F.size(network["raw_network_ids"])
         )
         counties = F.size("counties")
-        total = self._accepted.agg(
+        total = self.accepted.agg(
             F.sum(networks.cast("bigint")).alias("networks"),
             # A pairing carries the counties of its request.
             F.sum((F.size("compare_ids") * counties).cast("bigint")).alias("counties"),
