@@ -23,9 +23,10 @@ from rosterlens.sources.codes import excluded_codes
 INDIVIDUAL_DIR = "network_files/Individual"
 ORGANIZATION_DIR = "network_files/Organization"
 
-# File names of the score, lookup and benchmark tables.
-INDIVIDUAL_SCORES_CSV = "Score for Individual - PNC Medicare.csv"
-ORGANIZATION_SCORES_CSV = "Scores for Organization - PNC Medicare.csv"
+# File names of the score, lookup and benchmark tables. The names of the
+# score files go on with the payer and its line of business.
+INDIVIDUAL_SCORES_CSV = "Score for Individual*.csv"
+ORGANIZATION_SCORES_CSV = "Scores for Organization*.csv"
 SPECIALTIES_CSV = "HSD_specialty.csv"
 HOSPITAL_NAMES_CSV = "Hospital_name_mapping.csv"
 INDIVIDUAL_MARKET_CSV = "network_performance_countywise.csv"
