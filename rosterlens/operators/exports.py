@@ -31,6 +31,7 @@ from rosterlens.operators.membership import (
 from rosterlens.operators.scoring import (
     INDIVIDUAL_SCORE_KEY,
     ORGANIZATION_SCORE_KEY,
+    left_join_one,
     with_score_key,
 )
 from rosterlens.sources.canonical import HOSPITAL
@@ -168,13 +169,14 @@ def _scored_places(
         F.collect_set(place).alias("places"),
         F.collect_set(F.struct(*detail)).alias("details"),
     )
-    return listed.select(
+    narrow = listed.select(
         *key,
         "places",
         F.col("places.raw_network_id").alias("networks"),
         (F.size(F.array_distinct("places.place_fips")) == 1).alias("one_county"),
         F.inline("details"),
-    ).join(scores, score_on, "left")
+    )
+    return left_join_one(narrow, scores, score_on)
 
 
 def _with_pairs(rows: DataFrame, requests: Requests) -> DataFrame:
@@ -184,6 +186,7 @@ def _with_pairs(rows: DataFrame, requests: Requests) -> DataFrame:
     base or compare network. Only a county name with several county codes needs the list of
     requested counties; otherwise all listings are in the county of the row.
     """
+    sides = requests.sides.select("req_id", "pair_idx", "raw_network_id")
     pairs = requests.pairs.select(
         "req_id",
         "pair_idx",
@@ -191,7 +194,6 @@ def _with_pairs(rows: DataFrame, requests: Requests) -> DataFrame:
         "base_raw",
         "compare_raw",
         F.col("counties").alias("pair_counties"),
-        F.explode(F.array_union("base_raw", "compare_raw")).alias("raw_network_id"),
     )
 
     def listed_in(side: str) -> Column:
@@ -205,8 +207,9 @@ def _with_pairs(rows: DataFrame, requests: Requests) -> DataFrame:
         )
 
     return (
-        rows.join(requests.small(pairs), "raw_network_id")
+        rows.join(requests.small(sides), "raw_network_id")
         .join(requests.small(requests.counties), ["req_id", "fips"])
+        .join(requests.small(pairs), ["req_id", "pair_idx"])
         .withColumn(IN_BASE, yes_no(listed_in("base_raw")))
         .withColumn(IN_COMPARE, yes_no(listed_in("compare_raw")))
     )
@@ -230,16 +233,13 @@ def _attach(rows: DataFrame, narrow: DataFrame, key: list[str]) -> DataFrame:
 
 def with_facility_name(hospitals: DataFrame, names: DataFrame) -> DataFrame:
     """Display name of a hospital: the mapped name, or its own name in title case."""
-    return (
-        hospitals.withColumn("name_key", match_key(F.col("presentation_name")))
-        .join(names, "name_key", "left")
-        .withColumn(
-            "display_name", F.coalesce("facility", title_or_missing(F.col("name_key")))
-        )
+    keyed = hospitals.withColumn("name_key", match_key(F.col("presentation_name")))
+    return left_join_one(keyed, names, ["name_key"]).withColumn(
+        "display_name", F.coalesce("facility", title_or_missing(F.col("name_key")))
     )
 
 
-def _hospital_rows(
+def hospital_rows(
     organizations: DataFrame, scores: DataFrame, names: DataFrame, requests: Requests
 ) -> DataFrame:
     """Formatted hospital rows of every pairing, before columns are chosen."""
@@ -270,15 +270,13 @@ def _hospital_rows(
     return _with_pairs(shown, requests)
 
 
-def organization_export(
-    organizations: DataFrame, scores: DataFrame, names: DataFrame, requests: Requests
-) -> DataFrame:
-    """Hospitals of every pairing with flags and scores."""
-    rows = _hospital_rows(organizations, scores, names, requests)
-    return _one_per_row(rows, ORGANIZATION_COLUMNS, _ORGANIZATION_SHOWN)
+def organization_export(hospitals: DataFrame) -> DataFrame:
+    """Hospitals of every pairing, from ``hospital_rows``, in the columns of their clients."""
+    return _one_per_row(hospitals, ORGANIZATION_COLUMNS, _ORGANIZATION_SHOWN)
 
 
-def _individual_rows(individuals: DataFrame, scores: DataFrame, requests: Requests) -> DataFrame:
+def individual_rows(individuals: DataFrame, scores: DataFrame, requests: Requests) -> DataFrame:
+    """Formatted individual rows of every pairing, before columns are chosen."""
     rows = with_score_key(requests.restrict(individuals))
     key = COUNTY_NAME_KEY
     narrow = _scored_places(rows, key, ["fips", "score_key"], scores, INDIVIDUAL_SCORE_KEY)
@@ -331,18 +329,11 @@ def hospitals_as_individuals(hospitals: DataFrame) -> DataFrame:
 
 
 def individual_export(
-    individuals: DataFrame,
-    individual_scores: DataFrame,
-    organizations: DataFrame,
-    organization_scores: DataFrame,
-    names: DataFrame,
-    requests: Requests,
+    individuals: DataFrame, scores: DataFrame, hospitals: DataFrame, requests: Requests
 ) -> DataFrame:
-    """Individuals and hospitals of every pairing with flags and scores."""
-    rows = _individual_rows(individuals, individual_scores, requests).unionByName(
-        hospitals_as_individuals(
-            _hospital_rows(organizations, organization_scores, names, requests)
-        )
+    """Individuals, and the hospitals of ``hospital_rows``, in the columns of their clients."""
+    rows = individual_rows(individuals, scores, requests).unionByName(
+        hospitals_as_individuals(hospitals)
     )
     return _one_per_row(rows, INDIVIDUAL_COLUMNS, _INDIVIDUAL_SHOWN)
 

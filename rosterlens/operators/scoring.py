@@ -17,14 +17,29 @@ def with_score_key(individuals: DataFrame) -> DataFrame:
     )
 
 
+def left_join_one(rows: DataFrame, table: DataFrame, key: list[str]) -> DataFrame:
+    """Left join with a table that holds at most one row per key.
+
+    The key columns are compared as one struct. Such a table usually comes from a grouping
+    by the same columns, and Spark would then join right above that grouping, where
+    adaptive execution cannot split a key that holds a large share of the rows. For the
+    struct both sides are exchanged, and it can.
+    """
+    values = [c for c in table.columns if c not in key]
+    right = table.select(F.struct(*key).alias("joined_key"), *values)
+    return rows.join(right, F.struct(*[rows[c] for c in key]) == right["joined_key"], "left").drop(
+        "joined_key"
+    )
+
+
 def score_individuals(individuals: DataFrame, scores: DataFrame) -> DataFrame:
     """Left join on provider, type, county and score key; scores hold one row per key."""
-    return with_score_key(individuals).join(scores, INDIVIDUAL_SCORE_KEY, "left")
+    return left_join_one(with_score_key(individuals), scores, INDIVIDUAL_SCORE_KEY)
 
 
 def score_organizations(organizations: DataFrame, scores: DataFrame) -> DataFrame:
     """Left join on provider, normalised address, state and county."""
-    return organizations.join(scores, ORGANIZATION_SCORE_KEY, "left")
+    return left_join_one(organizations, scores, ORGANIZATION_SCORE_KEY)
 
 
 def with_bands(scored: DataFrame) -> DataFrame:

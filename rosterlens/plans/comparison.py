@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from rosterlens.operators import counts, exports, indicators
 from rosterlens.operators.lineage import cut_lineage
 from rosterlens.operators.sinks import write_run
+from rosterlens.session import prepare
 from rosterlens.sources.files import Inputs
 from rosterlens.sources.requests import Requests
 
@@ -65,19 +66,20 @@ def aggregate_tables(
     }
 
 
-def export_tables(inputs: Inputs, requests: Requests) -> dict[str, DataFrame]:
+def hospital_rows(inputs: Inputs, requests: Requests) -> DataFrame:
+    return exports.hospital_rows(
+        inputs.organizations, inputs.organization_scores, inputs.hospital_names, requests
+    )
+
+
+def export_tables(
+    inputs: Inputs, requests: Requests, hospitals: DataFrame
+) -> dict[str, DataFrame]:
     """The two row-level exports, with the columns of all clients."""
     return {
-        "organization_export": exports.organization_export(
-            inputs.organizations, inputs.organization_scores, inputs.hospital_names, requests
-        ),
+        "organization_export": exports.organization_export(hospitals),
         "individual_export": exports.individual_export(
-            inputs.individuals,
-            inputs.individual_scores,
-            inputs.organizations,
-            inputs.organization_scores,
-            inputs.hospital_names,
-            requests,
+            inputs.individuals, inputs.individual_scores, hospitals, requests
         ),
     }
 
@@ -91,7 +93,7 @@ def compare_networks(
     """All outputs by name; nothing runs until one of them is used."""
     return {
         **aggregate_tables(inputs, requests, suppressed, fill_blanks),
-        **export_tables(inputs, requests),
+        **export_tables(inputs, requests, hospital_rows(inputs, requests)),
     }
 
 
@@ -106,9 +108,10 @@ def run_comparison(
 ) -> None:
     """Evaluate all requests and write every output under ``out_dir``.
 
-    The requested rows are reduced and written once, so the three aggregate tables do not
-    each read the providers again.
+    What several outputs share is written once: the requested rows in the few columns the
+    three aggregate tables use, and the hospital rows that go into both exports.
     """
+    prepare(requests.spark)
     reduced = requested_inputs(inputs, requests)
     reduced = replace(
         reduced,
@@ -117,6 +120,6 @@ def run_comparison(
     )
     tables = {
         **aggregate_tables(reduced, requests, suppressed, fill_blanks),
-        **export_tables(inputs, requests),
+        **export_tables(inputs, requests, cut_lineage(hospital_rows(inputs, requests))),
     }
     write_run(tables, requests, out_dir, run_id, csv)

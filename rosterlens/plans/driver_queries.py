@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from rosterlens.functions.labels import pairing_label
 from rosterlens.functions.scores import number, score_description
 from rosterlens.functions.scores import score_text as export_text
 from rosterlens.operators import counts, exports, indicators, membership, scoring
+from rosterlens.session import prepare
 from rosterlens.sources import canonical, requests
 from rosterlens.sources import driver_tables as tables
 from rosterlens.sources.status import source_status
@@ -310,8 +312,8 @@ def performance_indicators(spark, sf_dir):
     )
 
 
-def organization_export(spark, sf_dir):
-    return exports.organization_export(
+def _hospital_rows(spark, sf_dir):
+    return exports.hospital_rows(
         tables.organizations(spark, sf_dir),
         tables.organization_scores(spark, sf_dir),
         tables.hospital_names(spark, sf_dir),
@@ -319,13 +321,15 @@ def organization_export(spark, sf_dir):
     )
 
 
+def organization_export(spark, sf_dir):
+    return exports.organization_export(_hospital_rows(spark, sf_dir))
+
+
 def individual_export(spark, sf_dir):
     return exports.individual_export(
         tables.individuals(spark, sf_dir),
         tables.individual_scores(spark, sf_dir),
-        tables.organizations(spark, sf_dir),
-        tables.organization_scores(spark, sf_dir),
-        tables.hospital_names(spark, sf_dir),
+        _hospital_rows(spark, sf_dir),
         _request_tables(spark, sf_dir),
     )
 
@@ -471,8 +475,16 @@ def sources_of_requests(spark, sf_dir):
     )
 
 
+def _prepared(query):
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(prepare(spark), sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+    f.__name__: _prepared(f)
     for f in (
         scan_individuals,
         scan_organizations,

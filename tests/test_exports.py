@@ -17,14 +17,18 @@ def requests(spark):
 
 
 def individual_rows(spark, requests, people, scores=(), places=(), place_scores=(), names=()):
-    export = exports.individual_export(
-        build.individuals(spark, *people),
-        build.individual_scores(spark, *scores),
+    hospitals = exports.hospital_rows(
         build.organizations(spark, *places),
         build.organization_scores(spark, *place_scores),
         build.hospital_names(spark, *names),
         requests,
     )
+    export = exports.individual_export(
+        build.individuals(spark, *people),
+        build.individual_scores(spark, *scores),
+        hospitals,
+        requests,
+    )
     return [r.asDict() for r in export.collect()]
 
 
@@ -124,12 +128,13 @@ def test_hospital_rows(spark, requests):
 
 
 def test_organization_export_keeps_the_address_for_every_client(spark, requests):
-    export = exports.organization_export(
+    hospitals = exports.hospital_rows(
         build.organizations(spark, dict(npi=1, address="1 hospital ave")),
         build.organization_scores(spark, dict(npi=1, quality="4", ma_util="55")),
         build.hospital_names(spark),
         requests,
     )
+    export = exports.organization_export(hospitals)
     rows = {r["req_id"]: r.asDict() for r in export.collect()}
     assert {r["Address First Line"] for r in rows.values()} == {"1 Hospital Ave"}
     assert rows["R45"]["MA Utilization Score"] == "55.0"
@@ -138,12 +143,13 @@ def test_organization_export_keeps_the_address_for_every_client(spark, requests)
 
 
 def test_view_names_its_flags_after_the_plans(spark, requests):
-    export = exports.organization_export(
+    hospitals = exports.hospital_rows(
         build.organizations(spark, dict(npi=1)),
         build.organization_scores(spark),
         build.hospital_names(spark),
         requests,
     )
+    export = exports.organization_export(hospitals)
     columns = exports.organization_columns(8)
     named = exports.export_view(export, columns, "Org A HMO", "Org B HMO").columns
     assert "Org A HMO" in named and "Org B HMO" in named
