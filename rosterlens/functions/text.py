@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The place before a letter that follows a character which is neither letter nor blank.
-_INNER_WORD = r"(?<=[^\p{Lu}\p{Ll}\p{Lt} ])(?=[\p{Lu}\p{Ll}\p{Lt}])"
+# A letter that follows a character which is neither letter nor blank, and its place.
+_INNER_LETTER = r"[^\p{LC} ]\p{LC}"
+_INNER_WORD = r"(?<=[^\p{LC} ])(?=\p{LC})"
 # Set there for a moment to make a word start; a private-use character and a blank.
 _MARK = "\ue000 "
 
@@ -23,7 +24,7 @@ def title_case(col: Column) -> Column:
     """
     marked = F.regexp_replace(col, F.lit(_INNER_WORD), F.lit(_MARK))
     cased = F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
-    return F.when(col.rlike(_INNER_WORD), cased).otherwise(F.initcap(col))
+    return F.when(col.rlike(_INNER_LETTER), cased).otherwise(F.initcap(col))
 
 
 def match_key(col: Column) -> Column:

@@ -21,8 +21,15 @@ EXCLUDED_PART_SIZES = [3, 9, 14, 27, 41]
 LISTED_SPECIALTIES = ["s1", " S3 ", "S5"]
 
 
+_opened: dict[tuple[SparkSession, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its file is looked up once per session."""
+    key = (spark, f"{sf_dir}/{name}.parquet")
+    if key not in _opened:
+        _opened[key] = spark.read.parquet(key[1])
+    return _opened[key]
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
