@@ -44,12 +44,22 @@ def write_clean(inputs: Inputs, path: str) -> None:
 
 
 def read_clean(
-    spark: SparkSession, path: str, raw_network_ids: list[int] | None = None
+    spark: SparkSession,
+    path: str,
+    raw_network_ids: list[int] | None = None,
+    counties: list[int] | None = None,
 ) -> Inputs:
-    """The layer as inputs; only the folders of the given raw networks, if any are given."""
+    """The layer as inputs; of providers and scores only the given networks and counties.
+
+    The lists become static filters: networks choose the folders that are listed, counties
+    are pushed down to the row groups. ``Requests`` gives both lists, or None if one is too
+    long, and every row is then read and joined with the request tables instead.
+    """
 
     def table(name: str) -> DataFrame:
         rows = spark.read.parquet(f"{path}/{name}")
+        if name in _PROVIDERS + _SCORES and counties is not None:
+            rows = rows.where(F.col("fips").isin(counties))
         if name not in _PROVIDERS:
             return rows
         if raw_network_ids is not None:

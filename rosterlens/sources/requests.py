@@ -122,6 +122,12 @@ def parse_requests(raw: DataFrame) -> DataFrame:
     )
 
 
+def _listed(table: DataFrame, column: str, limit: int) -> list[int] | None:
+    """The distinct values of a column for a static filter, unless there are too many."""
+    values = table.select(column).distinct().limit(limit + 1).collect()
+    return None if len(values) > limit else sorted(row[column] for row in values)
+
+
 class Requests:
     """The request tables of one job.
 
@@ -217,8 +223,11 @@ class Requests:
 
     def raw_network_ids(self, limit: int = 10_000) -> list[int] | None:
         """Distinct raw networks to prune files by; None if there are more than ``limit``."""
-        ids = self.members.select("raw_network_id").distinct().limit(limit + 1).collect()
-        return None if len(ids) > limit else sorted(row["raw_network_id"] for row in ids)
+        return _listed(self.members, "raw_network_id", limit)
+
+    def county_codes(self, limit: int = 10_000) -> list[int] | None:
+        """Distinct counties to skip row groups by; None if there are more than ``limit``."""
+        return _listed(self.counties, "fips", limit)
 
     def restrict(self, rows: DataFrame) -> DataFrame:
         """Rows of requested raw networks in requested counties."""

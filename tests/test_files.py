@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import build
 
 from rosterlens import schemas
@@ -94,7 +96,12 @@ def test_clean_layer_gives_the_same_results(spark, golden_dir, tmp_path):
     requests = build.requests(spark, build.request())
     inputs = files.read_inputs(spark, golden_dir)
     clean.write_clean(inputs, str(tmp_path / "clean"))
-    cleaned = clean.read_clean(spark, str(tmp_path / "clean"), requests.raw_network_ids())
+    cleaned = clean.read_clean(
+        spark, str(tmp_path / "clean"), requests.raw_network_ids(), requests.county_codes()
+    )
+    scan = cleaned.individuals._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*raw_network_id#\d+ IN \(100001,100002\)", scan)
+    assert "In(fips, [4013,6037])" in scan
     assert sets(compare_networks(cleaned, requests)) == sets(compare_networks(inputs, requests))
 
 
