@@ -214,17 +214,31 @@ def market(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_inputs(
-    spark: SparkSession, root: str, raw_network_ids: list[int] | None = None
+    spark: SparkSession,
+    root: str,
+    raw_network_ids: list[int] | None = None,
+    counties: list[int] | None = None,
 ) -> Inputs:
-    """Every canonical table of one data directory."""
+    """Every canonical table of one data directory.
+
+    The lists, which ``Requests`` gives, are static filters: networks choose the files that
+    are opened, and counties are pushed down to the provider files and below the grouping
+    of the score rows.
+    """
+
+    def in_counties(rows: DataFrame) -> DataFrame:
+        return rows if counties is None else rows.where(F.col("fips").isin(counties))
+
     return Inputs(
-        individuals=canonical.clean_individuals(scan_individuals(spark, root, raw_network_ids)),
-        organizations=canonical.clean_organizations(
-            scan_organizations(spark, root, raw_network_ids)
+        individuals=in_counties(
+            canonical.clean_individuals(scan_individuals(spark, root, raw_network_ids))
+        ),
+        organizations=in_counties(
+            canonical.clean_organizations(scan_organizations(spark, root, raw_network_ids))
         ),
-        individual_scores=individual_scores(spark, root),
-        organization_scores=organization_scores(spark, root),
+        individual_scores=in_counties(individual_scores(spark, root)),
+        organization_scores=in_counties(organization_scores(spark, root)),
         specialties=specialties(spark, root),
         hospital_names=hospital_names(spark, root),
-        market=market(spark, root),
+        market=in_counties(market(spark, root)),
     )

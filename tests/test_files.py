@@ -31,6 +31,26 @@ def test_excluded_files_are_not_read(spark, golden_dir):
     assert files.scan_individuals(spark, golden_dir, [100002]).count() == 54
 
 
+def test_county_filters_reach_the_files(spark, golden_dir):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 100_000)
+    inputs = files.read_inputs(spark, golden_dir, [100001], [4013])
+    scan = inputs.individuals._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(`FIPS State County Code`,4013)" in scan
+    scores = inputs.individual_scores._jdf.queryExecution().executedPlan().toString()
+    assert scores.index("Aggregate") < scores.index("= 4013")
+    assert {r["fips"] for r in inputs.individual_scores.collect()} == {4013}
+    assert inputs.individuals.count() == 27
+
+
+def test_excluded_files_and_other_networks_are_not_opened(spark, golden_dir):
+    rows = files.scan_individuals(spark, golden_dir, [100002])
+    execution = rows._jdf.queryExecution()
+    execution.toRdd().count()
+    scan = execution.executedPlan().collectLeaves().head()
+    assert scan.metrics().get("numFiles").get().value() == 3
+
+
 def test_zip_codes_and_codes_stay_text(spark, tmp_path):
     folder = tmp_path / "network_files" / "Organization"
     folder.mkdir(parents=True)

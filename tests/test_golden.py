@@ -19,7 +19,9 @@ def tables(spark, golden_dir):
         build.request("Bench_1", client="45"),
         build.request("Other_1", client="3"),
     )
-    inputs = files.read_inputs(spark, golden_dir, requests.raw_network_ids())
+    inputs = files.read_inputs(
+        spark, golden_dir, requests.raw_network_ids(), requests.county_codes()
+    )
     return compare_networks(inputs, requests)
 
 
