@@ -157,24 +157,27 @@ def _is_scored() -> Column:
 
 
 def _scored_places(
-    rows: DataFrame, key: list[str], detail: list[str], scores: DataFrame, score_on: list[str]
+    rows: DataFrame, key: list[str], scores: DataFrame, score_on: list[str]
 ) -> DataFrame:
-    """One narrow row per provider key and detail, with its places and scores.
+    """One narrow row per provider key, county and score key, with places and scores.
 
     Providers are reduced to keys before any join, so that neither the places nor the
-    scores are joined to wide rows, and a provider with very many rows is one key here.
+    scores are joined to wide rows, and a provider with very many rows is one key here. Its
+    set of places holds at most one entry per requested network, county and score key.
     """
-    place = F.struct("raw_network_id", F.col("fips").alias("place_fips"))
-    listed = rows.groupBy(*key).agg(
-        F.collect_set(place).alias("places"),
-        F.collect_set(F.struct(*detail)).alias("details"),
+    rest = [c for c in score_on if c not in (*key, "fips")]
+    place = F.struct("raw_network_id", F.col("fips").alias("place_fips"), *rest)
+    listed = rows.groupBy(*key).agg(F.sort_array(F.collect_set(place)).alias("places"))
+    details = F.transform(
+        "places",
+        lambda p: F.struct(p["place_fips"].alias("fips"), *[p[c].alias(c) for c in rest]),
     )
     narrow = listed.select(
         *key,
         "places",
-        F.col("places.raw_network_id").alias("networks"),
+        F.array_distinct("places.raw_network_id").alias("networks"),
         (F.size(F.array_distinct("places.place_fips")) == 1).alias("one_county"),
-        F.inline("details"),
+        F.inline(F.array_distinct(details)),
     )
     return left_join_one(narrow, scores, score_on)
 
@@ -212,6 +215,7 @@ def _with_pairs(rows: DataFrame, requests: Requests) -> DataFrame:
         .join(requests.small(pairs), ["req_id", "pair_idx"])
         .withColumn(IN_BASE, yes_no(listed_in("base_raw")))
         .withColumn(IN_COMPARE, yes_no(listed_in("compare_raw")))
+        .drop(*PLACE, "base_raw", "compare_raw", "pair_counties")
     )
 
 
@@ -239,6 +243,25 @@ def with_facility_name(hospitals: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
+_HOSPITAL_COLUMNS = [
+    *PLACE,
+    "type",
+    "npi",
+    "presentation_name",
+    "address",
+    "zip_code",
+    "city",
+    "state",
+    "county_name",
+    "provider_type",
+    "specialty",
+    "quality",
+    "cost",
+    "ma_util",
+    "ffs_util",
+]
+
+
 def hospital_rows(
     organizations: DataFrame, scores: DataFrame, names: DataFrame, requests: Requests
 ) -> DataFrame:
@@ -246,8 +269,9 @@ def hospital_rows(
     # The membership key has the provider type, so other types do not matter here.
     hospitals = requests.restrict(organizations.where(F.col("provider_type") == HOSPITAL))
     key = ORGANIZATION_COUNTY_NAME_KEY
-    narrow = _scored_places(hospitals, key, ["fips"], scores, ORGANIZATION_SCORE_KEY)
-    scored = _attach(hospitals, narrow, [*key, "fips"])
+    narrow = _scored_places(hospitals, key, scores, ORGANIZATION_SCORE_KEY)
+    # The specialty code is not shown; without it the rows of a hospital become few.
+    scored = _attach(hospitals, narrow, [*key, "fips"]).select(*_HOSPITAL_COLUMNS).distinct()
     shown = with_facility_name(scored, names).select(
         *PLACE,
         F.col("type").alias("Type"),
@@ -279,7 +303,7 @@ def individual_rows(individuals: DataFrame, scores: DataFrame, requests: Request
     """Formatted individual rows of every pairing, before columns are chosen."""
     rows = with_score_key(requests.restrict(individuals))
     key = COUNTY_NAME_KEY
-    narrow = _scored_places(rows, key, ["fips", "score_key"], scores, INDIVIDUAL_SCORE_KEY)
+    narrow = _scored_places(rows, key, scores, INDIVIDUAL_SCORE_KEY)
     scored = _attach(rows, narrow, [*key, "fips", "score_key"])
     shown = scored.select(
         *PLACE,
