@@ -61,7 +61,7 @@ def session() -> SparkSession:
     return prepare(spark)
 
 
-def seconds(build, repeats: int = 2) -> float:
+def seconds(build, repeats: int = 3) -> float:
     """Best time to build, plan and run the query to its last row."""
     best = None
     for _ in range(repeats):
