@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlens.llm import bpe, exact_dedup, packing
+from rosterlens.llm import bpe, exact_dedup, language_gru, licenses, packing, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +25,22 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"))
 
 
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.capture_index(_table(spark, sf_dir, "pages"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op8_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_gru.predict(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_language_gru": op8_language_gru,
+    "op10_license_scan": op10_license_scan,
+    "op3_warc_index": op3_warc_index,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op9_bpe_round_trip": op9_bpe_round_trip,
