@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlens.llm import bpe, exact_dedup, language_gru, licenses, packing, warc
+from rosterlens.llm import bpe, exact_dedup, language_gru, licenses, packing, pii_crf, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +37,12 @@ def op8_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_gru.predict(_table(spark, sf_dir, "documents"))
 
 
+def op1_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.spans_of(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_crf": op1_pii_crf,
     "op8_language_gru": op8_language_gru,
     "op10_license_scan": op10_license_scan,
     "op3_warc_index": op3_warc_index,
