@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlens.llm import bpe, exact_dedup, language_gru, licenses, packing, pii_crf, warc
+from rosterlens.llm import bpe, exact_dedup, jaccard_join, language_gru, licenses, packing, pii_crf, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +41,12 @@ def op1_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.spans_of(_table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_jaccard_join": op7_jaccard_join,
     "op1_pii_crf": op1_pii_crf,
     "op8_language_gru": op8_language_gru,
     "op10_license_scan": op10_license_scan,
@@ -51,7 +56,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe_round_trip": op9_bpe_round_trip,
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+
 ORACLE_SQL: dict[str, str] = {
+    "op7_jaccard_join": f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(
+        CASE WHEN len(w) = 0 THEN []
+             WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM words
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    GROUP BY ALL
+), links AS (
+    SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+    WHERE 100 * c >= 75 * (a.n + b.n - c)
+), reach(x, y) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT x AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id
+FROM reach LEFT JOIN sizes ON sizes.doc_id = x
+GROUP BY x
+""",
     "op2_exact_dedup": """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
