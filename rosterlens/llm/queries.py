@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlens.llm import bpe, exact_dedup, jaccard_join, language_gru, licenses, packing, pii_crf, warc
+from rosterlens.llm import bpe, exact_dedup, jaccard_join, language_gru, licenses, packing, pii_crf, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +45,12 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op1_pii_crf": op1_pii_crf,
     "op8_language_gru": op8_language_gru,
@@ -60,6 +65,25 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_substring_dedup": f"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words)
+), repeated AS (
+    SELECT doc_id, i FROM windows
+    WHERE s IN (SELECT s FROM windows GROUP BY s HAVING count(*) > 1)
+), removed AS (
+    SELECT doc_id, list(DISTINCT p) AS gone
+    FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM repeated) GROUP BY doc_id
+), split AS (
+    SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+           list_filter(w, lambda x, i: gone IS NULL OR NOT list_contains(gone, i)) AS kept
+    FROM words LEFT JOIN removed USING (doc_id)
+)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM split
+""",
     "op7_jaccard_join": f"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM documents
