@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlens.llm import bpe, exact_dedup, jaccard_join, language_gru, licenses, packing, pii_crf, substring_dedup, warc
+from rosterlens.llm import bpe, exact_dedup, hilbert_neighbours, jaccard_join, language_gru, licenses, packing, pii_crf, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +49,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(_table(spark, sf_dir, "documents"))
 
 
+def op6_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_neighbours.neighbours(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_hilbert_neighbours": op6_hilbert_neighbours,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op1_pii_crf": op1_pii_crf,
