@@ -7,9 +7,13 @@ a block multiplies its columns with each other and gives partial overlap counts
 over blocks, pairs that cannot reach the bound for their sizes go, and the others are compared
 whole.
 
-A column of more rows than SHORT is not multiplied out, for that would be the square of a group
-of copies. Its rows are compared with a leader first; rows that are then in one component need no
-further comparison, and only pairs of rows in different components are compared in addition.
+Frequent columns are not multiplied out, for that would be the square of a group of copies. A row
+that has one among its first entries has all its other shingles there too, which are counted. So
+beyond the counted pairs two such rows share frequent shingles only, and whether they are similar
+depends on the sets of these and on their sizes: rows that agree in both are one group. Groups
+are compared with a leader first, then where they are not in one component yet. The same holds for
+candidates of the product: each row is compared with its smallest partner, then with those outside
+its component.
 """
 
 from __future__ import annotations
@@ -36,6 +40,7 @@ FREQUENT_LEAST = 24
 _COUNTED = 1 << 22
 _PAIRS = 1 << 20
 _ENTRY = np.dtype([("h", "<u8"), ("cls", "<i8"), ("n", "<i4"), ("m", "<i4")])
+_CARRIERS = 64
 
 
 # ---- sets -------------------------------------------------------------------------------------
@@ -122,40 +127,44 @@ def _typed(batch: pa.RecordBatch, kind: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([ids, *batch.columns[1:]], batch.schema.names)
 
 
-def frequent_shingles(summaries: DataFrame) -> np.ndarray:
-    """The most frequent shingles, at most FREQUENT, sorted."""
+def frequent_shingles(summaries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, at most FREQUENT, sorted, and the place of each by frequency."""
     counts = summaries.where("h IS NOT NULL").groupBy("h").agg(F.sum("sets").alias("sets"))
     top = counts.where(F.col("sets") >= FREQUENT_LEAST).orderBy(F.desc("sets"), "h").limit(FREQUENT)
-    return np.sort(np.array([r[0] for r in top.select("h").collect()], np.int64).astype(np.uint64))
+    hashes = np.array([r[0] for r in top.select("h").collect()], np.int64).astype(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], (len(hashes) - order).astype(np.int64)
 
 
 # ---- the product ------------------------------------------------------------------------------
 
 
-def prefix(found: np.ndarray, bounds: np.ndarray, frequent: np.ndarray):
+def prefix(found: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, places: np.ndarray):
     """The first entries of every row in the global order: entry numbers, and which are frequent.
 
-    The order is by hash, with the frequent shingles after all others. A row of n entries needs
+    The order is by hash; the frequent shingles come after all others, by frequency. A row of n entries needs
     n - ceil(n * PERCENT / 100) + 1 of them.
     """
     size = np.diff(bounds)
-    last = np.zeros(len(found), bool)
+    last = np.zeros(len(found), np.int64)
     if len(frequent):
         at = np.searchsorted(frequent, found)
         at[at == len(frequent)] = 0
-        last = frequent[at] == found
+        last = np.where(frequent[at] == found, places[at], 0)
     row = np.repeat(np.arange(len(size)), size)
     order = np.lexsort((found, last, row))
     place = np.arange(len(found)) - np.repeat(bounds[:-1], size)
     need = size - (size * PERCENT + 99) // 100 + 1
     picked = order[place < need[row]]
-    return picked, last[picked], row[picked]
+    return picked, last[picked] > 0, row[picked]
 
 
-def _entries(texts: DataFrame, frequent: np.ndarray, blocks: int) -> DataFrame:
+def _entries(texts: DataFrame, frequent: np.ndarray, places: np.ndarray, blocks: int) -> DataFrame:
     """Matrix entries dealt to column blocks, packed: ``block, entries``.
 
-    Frequent columns are spread over the blocks by row, for they are not multiplied there.
+    A row with frequent shingles among its first entries is a row of its own too, with a block
+    below zero: its class, the key of its frequent shingles, its size, their number, and those
+    among its first entries.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,30 +172,61 @@ def _entries(texts: DataFrame, frequent: np.ndarray, blocks: int) -> DataFrame:
             for _, _, buf, offsets in text_slices(batch.column(0), 1 << 22):
                 found, bounds = shingle_sets(buf, offsets)
                 keys = set_keys(found, bounds)
-                picked, last, row = prefix(found, bounds, frequent)
+                picked, last, row = prefix(found, bounds, frequent, places)
                 _, unique = np.unique(keys, return_index=True)
                 once = np.isin(row, unique[keys[unique] != 0])
                 picked, last, row = picked[once], last[once], row[once]
+                size = np.diff(bounds)
                 rare = np.bincount(row[~last], minlength=len(keys))
+                yield _carriers(found, bounds, frequent, keys, rare, picked[last], row[last])
+                picked, row = picked[~last], row[~last]
                 entries = np.empty(len(picked), _ENTRY)
                 entries["h"], entries["cls"] = found[picked], keys[row]
-                entries["n"] = np.diff(bounds)[row]
-                entries["m"] = np.where(last, -1, rare[row])
-                spread = np.where(last, keys[row].astype(np.uint64), found[picked])
-                block = (mix(spread) % np.uint64(blocks)).astype(np.int32)
+                entries["n"], entries["m"] = size[row], rare[row]
+                block = (mix(found[picked]) % np.uint64(blocks)).astype(np.int32)
                 order = np.argsort(block, kind="stable")
                 entries, block = entries[order], block[order]
                 which, first = np.unique(block, return_index=True)
                 parts = [x.tobytes() for x in np.split(entries, first[1:])] if len(which) else []
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(which, pa.int32()), pa.array(parts, pa.binary())], ["block", "entries"]
-                )
+                rest = [pa.nulls(len(which), f.type) for f in _SENT_TYPES[2:]]
+                columns = [pa.array(which, pa.int32()), pa.array(parts, pa.binary()), *rest]
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in _SENT_TYPES])
+
+    return texts.select("text").mapInArrow(run, _SENT)
+
 
-    return texts.select("text").mapInArrow(run, "block int, entries binary")
+_SENT = "block int, entries binary, cls long, frequent long, n int, rest int, hashes binary"
+_SENT_TYPES = [
+    pa.field("block", pa.int32()), pa.field("entries", pa.binary()), pa.field("cls", pa.int64()),
+    pa.field("frequent", pa.int64()), pa.field("n", pa.int32()), pa.field("rest", pa.int32()),
+    pa.field("hashes", pa.binary()),
+]
 
 
-_PRODUCT = "a long, b long, n_a int, n_b int, rest int, shared int"
-_PRODUCT_NAMES = ["a", "b", "n_a", "n_b", "rest", "shared"]
+def _carriers(found, bounds, frequent, keys, rare, picked, row) -> pa.RecordBatch:
+    """The rows that have frequent shingles among their first entries."""
+    rows, first = np.unique(row, return_index=True)
+    size = np.diff(bounds)
+    hashes, mine = [], []
+    for x in np.split(found[picked], first[1:]) if len(rows) else []:
+        hashes.append(x.tobytes())
+    for r in rows.tolist():
+        own = found[bounds[r] : bounds[r + 1]]
+        at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
+        mine.append(own[frequent[at] == own])
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in mine])]).astype(np.int64)
+    sets = set_keys(np.concatenate(mine) if mine else np.zeros(0, np.uint64), ends)
+    block = -1 - (mix(keys[rows].astype(np.uint64)) % np.uint64(_CARRIERS)).astype(np.int64)
+    columns = [
+        pa.array(block.astype(np.int32)), pa.nulls(len(rows), pa.binary()), pa.array(keys[rows]), pa.array(sets),
+        pa.array(size[rows].astype(np.int32)), pa.array((size - rare)[rows].astype(np.int32)),
+        pa.array(hashes, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, [f.name for f in _SENT_TYPES])
+
+
+_PRODUCT = "a long, b long, n_a int, n_b int, rest int, shared int, hashes binary"
+_PRODUCT_NAMES = ["a", "b", "n_a", "n_b", "rest", "shared", "hashes"]
 
 
 def _multiply(entries: np.ndarray) -> Iterator[pa.Table]:
@@ -195,9 +235,6 @@ def _multiply(entries: np.ndarray) -> Iterator[pa.Table]:
     Rows with ``shared`` are pairs: ``rest`` bounds what they may share beyond the counted
     entries. Rows without are entries: ``a`` the column, ``b`` the row.
     """
-    often = entries["m"] < 0
-    yield _long(entries[often])
-    entries = entries[~often]
     entries = entries[np.lexsort((entries["cls"], entries["h"]))]
     new = np.ones(len(entries), bool)
     new[1:] = (entries["h"][1:] != entries["h"][:-1]) | (entries["cls"][1:] != entries["cls"][:-1])
@@ -240,7 +277,8 @@ def _products(e: np.ndarray) -> pa.Table:
     i, j = i[new], j[new]
     rest = np.maximum(e["n"][i] - e["m"][i], e["n"][j] - e["m"][j])
     return pa.table(
-        [pa.array(x) for x in (e["cls"][i], e["cls"][j], e["n"][i], e["n"][j], rest.astype(np.int32), shared.astype(np.int32))],
+        [pa.array(x) for x in (e["cls"][i], e["cls"][j], e["n"][i], e["n"][j], rest.astype(np.int32), shared.astype(np.int32))]
+        + [pa.nulls(len(i), pa.binary())],
         _PRODUCT_NAMES,
     )
 
@@ -248,19 +286,30 @@ def _products(e: np.ndarray) -> pa.Table:
 def _long(e: np.ndarray) -> pa.Table:
     none = pa.nulls(len(e), pa.int32())
     return pa.table(
-        [pa.array(e["h"].astype(np.int64)), pa.array(e["cls"]), pa.array(e["n"]), none, none, none],
+        [pa.array(e["h"].astype(np.int64)), pa.array(e["cls"]), pa.array(e["n"]), none, none, none, pa.nulls(len(e), pa.binary())],
         _PRODUCT_NAMES,
     )
 
 
 def _product(entries: DataFrame) -> DataFrame:
+    """Pairs, entries of long columns, and rows with frequent shingles, which have ``hashes``."""
+
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
-            buf, _ = text_bytes(batch.column(batch.schema.get_field_index("entries")))
-            held.append(np.frombuffer(buf.tobytes(), _ENTRY))
-        for table in _multiply(np.concatenate(held)):
-            yield from table.to_batches()
+            column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            if key[0].as_py() >= 0:
+                buf, _ = text_bytes(column["entries"])
+                held.append(np.frombuffer(buf.tobytes(), _ENTRY))
+            else:
+                none = pa.nulls(batch.num_rows, pa.int32())
+                columns = [column[k] for k in ("cls", "frequent", "n")]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, none, column["rest"], none, column["hashes"]], _PRODUCT_NAMES
+                )
+        if held:
+            for table in _multiply(np.concatenate(held)):
+                yield from table.to_batches()
 
     return entries.groupBy("block").applyInArrow(run, _PRODUCT)
 
@@ -290,27 +339,27 @@ def _sets_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
     return texts.select("cls", "text").mapInArrow(run, "cls long, hashes binary").dropDuplicates(["cls"])
 
 
-def _similar(left: pa.Array, right: pa.Array) -> pa.Array:
-    out = []
-    for x, y in zip(left, right):
-        a, b = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-        if len(a) > len(b):
-            a, b = b, a
-        at = np.searchsorted(b, a)
-        at[at == len(b)] = 0
-        shared = int((b[at] == a).sum())
-        out.append(100 * shared >= PERCENT * (len(a) + len(b) - shared))
-    return pa.array(out, pa.bool_())
+def _verified(pairs: DataFrame, sets: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """The pairs of classes ``a, b`` that are similar, and whether by frequent shingles alone."""
 
+    def compare(left: pa.Array, right: pa.Array) -> pa.Array:
+        out = []
+        for x, y in zip(left, right):
+            a, b = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
+            shared = np.intersect1d(a, b, assume_unique=True)
+            both, often = len(a) + len(b), 0
+            similar = (100 + PERCENT) * len(shared) >= PERCENT * both
+            if similar and len(frequent):
+                at = np.minimum(np.searchsorted(frequent, shared), len(frequent) - 1)
+                often = int((frequent[at] == shared).sum())
+            out.append(2 if similar and (100 + PERCENT) * often >= PERCENT * both else int(similar))
+        return pa.array(out, pa.int32())
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs of classes ``a, b`` that are similar."""
-    needed = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    sets = stored(_sets_of(docs, needed.join(classes, "cls").select("cls", "doc_id")))
     first = sets.select(F.col("cls").alias("a"), F.col("hashes").alias("hashes_a"))
     second = sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hashes_b"))
     joined = pairs.select("a", "b").join(first, "a").join(second, "b")
-    return joined.where(F.arrow_udf(_similar, "boolean")("hashes_a", "hashes_b")).select("a", "b")
+    found = joined.select("a", "b", F.arrow_udf(compare, "int")("hashes_a", "hashes_b").alias("how"))
+    return found.where("how > 0").select("a", "b", (F.col("how") == 2).alias("frequent"))
 
 
 def _fits(x: str, y: str):
@@ -338,36 +387,55 @@ def _bucket(n):
     return F.floor(F.log(n) / math.log(100 / PERCENT)).cast("int")
 
 
+def _pair(a, b):
+    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
+
+
+def _may(n_a: str, n_b: str, rest_a: str, rest_b: str):
+    """Whether rows that share at most the smaller rest can be similar."""
+    shared = F.least(rest_a, rest_b)
+    return _fits(n_a, n_b) & ((100 + PERCENT) * shared >= PERCENT * (F.col(n_a) + F.col(n_b)))
+
+
 def _leader_pairs(entries: DataFrame) -> DataFrame:
-    """Every row of a long column with the column's leader of its size and of the next size up."""
+    """Every row of a column with the column's leader of its size and of the next size up."""
     sized = entries.withColumn("bucket", _bucket(F.col("n")))
-    leader = F.min(F.struct("cls", "n")).alias("leader")
+    leader = F.min(F.struct("cls", "n", "rest")).alias("leader")
     leaders = sized.groupBy("h", "bucket").agg(leader).select(
-        "h", "bucket", F.col("leader.cls").alias("b"), F.col("leader.n").alias("n_b")
+        "h", "bucket", F.col("leader.cls").alias("b"), F.col("leader.n").alias("n_b"), F.col("leader.rest").alias("rest_b")
     )
     near = sized.withColumn("bucket", F.explode(F.array("bucket", F.col("bucket") + 1)))
-    pairs = near.join(leaders, ["h", "bucket"]).where(_fits("n", "n_b"))
-    pairs = pairs.where("cls != b").select(F.least("cls", "b").alias("a"), F.greatest("cls", "b").alias("b"))
-    return pairs.distinct()
+    pairs = near.join(leaders, ["h", "bucket"]).where(_may("n", "n_b", "rest", "rest_b") & (F.col("cls") != F.col("b")))
+    return pairs.select(*_pair("cls", "b")).distinct()
 
 
 def _across(entries: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of rows of a long column that are not in one component yet."""
-    placed = entries.join(roots, entries["cls"] == roots["node"], "left").select(
-        "h", "cls", "n", F.coalesce("root", "cls").alias("root")
+    """Pairs of rows that share a column and are not in one component yet.
+
+    Rows with the same columns meet as one: first the sets of columns are paired, then the
+    components below them, then their rows.
+    """
+    kinds = entries.select("h", "kind").distinct()
+    met = kinds.join(kinds.withColumnRenamed("kind", "kind_b"), "h").where("kind <= kind_b")
+    met = met.select("kind", "kind_b").distinct()
+    rows = entries.select("kind", "cls", "n", "rest").distinct()
+    placed = rows.join(roots, "cls", "left").select(
+        "kind", "cls", "n", "rest", F.coalesce("root", "cls").alias("root"), _bucket(F.col("n")).alias("bucket")
     )
-    groups = placed.groupBy("h", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    several = groups.groupBy("h").agg(F.count("*").alias("groups")).where("groups > 1").select("h")
-    groups = groups.join(several, "h")
-    other = groups.select(
-        "h", F.col("root").alias("root_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b")
+    spans = placed.groupBy("kind", "root", "bucket").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("most")
     )
+    other = spans.select(*(F.col(c).alias(f"{c}_b") for c in spans.columns))
+    shared = F.least("most", "most_b")
     fits = (F.col("high") * 100 >= F.col("low_b") * PERCENT) & (F.col("high_b") * 100 >= F.col("low") * PERCENT)
-    both = groups.join(other, "h").where((F.col("root") < F.col("root_b")) & fits).select("h", "root", "root_b")
-    # One column for each two components and its rows: the members that meet in any column do.
-    members = placed.select("h", F.col("root").alias("root_b"), F.col("cls").alias("b"), F.col("n").alias("n_b"))
-    pairs = both.join(placed, ["h", "root"]).join(members, ["h", "root_b"]).where(_fits("n", "n_b"))
-    return pairs.select(F.least("cls", "b").alias("a"), F.greatest("cls", "b").alias("b")).distinct()
+    fits &= (100 + PERCENT) * shared >= PERCENT * (F.col("low") + F.col("low_b"))
+    apart = (F.col("root") != F.col("root_b")) & F.abs(F.col("bucket") - F.col("bucket_b")).isin(0, 1)
+    both = met.join(spans, "kind").join(other, "kind_b").where(apart & fits)
+    both = both.select("kind", "root", "bucket", "kind_b", "root_b", "bucket_b").distinct()
+    members = placed.select(*(F.col(c).alias(f"{c}_b") for c in placed.columns))
+    pairs = both.join(placed, ["kind", "root", "bucket"]).join(members, ["kind_b", "root_b", "bucket_b"])
+    pairs = pairs.where(_may("n", "n_b", "rest", "rest_b") & (F.col("cls") != F.col("cls_b")))
+    return pairs.select(*_pair("cls", "cls_b")).distinct()
 
 
 # ---- on documents -----------------------------------------------------------------------------
@@ -434,19 +502,86 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def _links(texts: DataFrame, summaries: DataFrame, classes: DataFrame) -> DataFrame:
-    frequent = frequent_shingles(summaries)
+    """Links ``a, b`` between classes, as many as it takes to join what is similar."""
+    frequent, places = frequent_shingles(summaries)
     total = summaries.where("n > 0").agg(F.sum(F.col("n") / 4 + 1)).first()[0] or 0
     blocks = max(1, math.ceil(total / BLOCK_ENTRIES))
-    product = stored(_product(_entries(texts, frequent, blocks)))
-    entries = product.where("shared IS NULL").select(
-        F.col("a").alias("h"), F.col("b").alias("cls"), F.col("n_a").alias("n")
-    ).distinct()
-    noisy = entries.select("cls").distinct()
-    counted = _counted_pairs(product, noisy)
-    tried = stored(counted.unionByName(_leader_pairs(entries)).distinct())
-    links = stored(_verified(texts, tried, classes))
-    if product.where("shared IS NULL").isEmpty():
-        return links
+    product = stored(_product(_entries(texts, frequent, places, blocks)))
+    entry = "shared IS NULL AND hashes IS NULL"
+    long = product.where(entry).select(F.col("a").alias("h"), F.col("b").alias("cls"), F.col("n_a").alias("n"))
+    noisy = long.select("cls").distinct()
+    carriers = product.where("hashes IS NOT NULL").select(
+        F.col("a").alias("cls"), F.col("b").alias("frequent"), F.col("n_a").alias("n"), "rest", "hashes"
+    ).dropDuplicates(["cls"])
+    # Rows with the same frequent shingles and size stand and fall together.
+    groups = stored(
+        carriers.groupBy("frequent", "n").agg(F.min_by(F.struct("cls", "rest", "hashes"), "cls").alias("head"))
+        .select("frequent", "n", "head.*")
+    )
+    heads = groups.select("frequent", "n", F.col("cls").alias("head"))
+    members = stored(carriers.join(heads, ["frequent", "n"]).where("cls != head").select("cls", "head", "n", "rest"))
+    alike = members.where((100 + PERCENT) * F.col("rest") >= 2 * PERCENT * F.col("n"))
+    alike = alike.select(*_pair("cls", "head"))
+    # What rows of long columns share beyond the counted entries is not known: up to all.
+    entries = stored(
+        _spread(groups).unionByName(long.select("h", F.col("cls").alias("kind"), "cls", "n", F.col("n").alias("rest")))
+    )
+    counted = stored(_counted_pairs(product, noisy))
+    # Whole sets of all that may be compared, whatever the round.
+    ends = counted.select(F.col("a").alias("cls")).union(counted.select("b")).union(entries.select("cls"))
+    sets = stored(_sets_of(texts, ends.distinct().join(classes, "cls").select("cls", "doc_id")))
+    partner = counted.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    tried = stored(partner.unionByName(_leader_pairs(entries)).distinct())
+    links = stored(_widened(_verified(tried, sets, frequent), members).unionByName(alike))
     roots = stored(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
-    more = stored(_across(entries, roots).join(tried, ["a", "b"], "left_anti"))
-    return links.unionByName(stored(_verified(texts, more, classes)))
+    more = stored(
+        _outside(counted, roots).unionByName(_across(entries, _settled(roots, members)))
+        .distinct().join(tried, ["a", "b"], "left_anti")
+    )
+    return links.unionByName(stored(_widened(_verified(more, sets, frequent), members)))
+
+
+def _spread(groups: DataFrame) -> DataFrame:
+    """The columns of the groups' heads: ``h, kind, cls, n, rest``; equal sets of columns are one kind."""
+
+    @F.arrow_udf("array<long>")
+    def unpacked(hashes: pa.Array) -> pa.Array:
+        buf, at = text_bytes(hashes)
+        values = pa.array(np.frombuffer(buf.tobytes(), "<i8"))
+        return pa.LargeListArray.from_arrays(pa.array(at // 8), values).cast(pa.list_(pa.int64()))
+
+    rows = groups.select(
+        F.explode(unpacked("hashes")).alias("h"), F.xxhash64("hashes").alias("kind"), "cls", "n", "rest"
+    )
+    return rows
+
+
+def _widened(verified: DataFrame, members: DataFrame) -> DataFrame:
+    """Links of heads by frequent shingles alone hold for all members of their groups."""
+    own = members.select("cls", "head")
+    by = verified.where("frequent").select("a", "b")
+    first = by.join(own, by["a"] == own["head"]).select(*_pair("cls", "b"))
+    second = by.join(own, by["b"] == own["head"]).select(*_pair("cls", "a"))
+    return verified.select("a", "b").unionByName(first).unionByName(second).distinct()
+
+
+def _settled(roots: DataFrame, members: DataFrame) -> DataFrame:
+    """``cls, root`` of heads; those whose members are not all with them count as apart from all."""
+    named = roots.withColumnRenamed("node", "cls")
+    own = members.select("cls", "head").join(named, "cls", "left")
+    own = own.select("head", F.coalesce("root", "cls").alias("member_root"))
+    heads = own.join(named.withColumnRenamed("cls", "head"), "head", "left")
+    loose = heads.where(~F.col("member_root").eqNullSafe(F.coalesce("root", "head")))
+    loose = loose.select(F.col("head").alias("cls")).distinct()
+    apart = loose.select("cls", F.xxhash64("cls", F.lit(1)).alias("root"))
+    return named.join(loose, "cls", "left_anti").unionByName(apart)
+
+
+def _outside(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose rows are in different components."""
+    left = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    right = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    placed = pairs.join(left, "a", "left").join(right, "b", "left")
+    return placed.where(~F.coalesce("root_a", "a").eqNullSafe(F.coalesce("root_b", "b"))).select("a", "b")
+
+
