@@ -26,15 +26,21 @@ SCORE_DESCRIPTIONS = {
 def number(col: Column) -> Column:
     """Read a number from text; text that is no number, and NaN, become null.
 
-    Spark orders NaN above every number, so a NaN left in place would count as High.
+    Spark orders NaN above every number, so a NaN left in place would count as High. It also
+    reads ``4d`` and ``4f``, which are no numbers here.
     """
-    value = col.try_cast("double")
+    text = col.cast("string")
+    value = F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
     return F.when(~F.isnan(value), value)
 
 
 def whole_number(col: Column) -> Column:
-    """Read an identifier or count from text such as ``6037`` or ``6037.0``."""
-    return F.trim(col).try_cast("decimal(20,0)").try_cast("bigint")
+    """Read an identifier or count from text such as ``6037`` or ``6037.0``.
+
+    A number with a fraction is none: rounding it would name something else.
+    """
+    value = F.trim(col).try_cast("decimal(38,10)")
+    return F.when(value == F.floor(value), value).try_cast("bigint")
 
 
 def score_band(score: Column) -> Column:

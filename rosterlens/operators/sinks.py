@@ -1,15 +1,18 @@
 """Write outputs by request so that a repeated run replaces what it wrote before.
 
-    <out_dir>/<output>/run_id=<run_id>/request=<req_id>/...
+    <out_dir>/<output>/run_id=<run_id>-<attempt>/request=<req_id>/...
     <out_dir>/request_status/request=<req_id>/...
 
-Outputs go to a folder of their run. The status rows are written last and name the run
-that holds the current results of a request, so readers never see half of a run, and a
-request that has no rows any more does not keep old ones.
+Every attempt of a run writes to a folder of its own. The status rows are written last and name
+the attempt that holds the current results of a request, so readers never see half of a run, a
+request that has no rows any more does not keep old ones, and a run that is repeated for some of
+its requests leaves the results of the others as they are.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,7 @@ def _write(table: DataFrame, path: str, file_format: str, mode: str = "static")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .option("header", True)
+        .option("escape", '"')
         .partitionBy("request")
         .format(file_format)
         .save(path)
@@ -53,8 +57,9 @@ def write_run(
     if not run_id[:1].isalpha():
         raise ValueError("a run id starts with a letter")
     spark = requests.spark
+    attempt = f"{run_id}-{uuid.uuid4().hex[:12]}"
     for name, table in tables.items():
-        path = f"{out_dir}/{name}/run_id={run_id}"
+        path = f"{out_dir}/{name}/run_id={attempt}"
         ordered = _in_order(table) if IS_SCORED in table.columns else table
         _write(ordered, path, "parquet")
         if csv:
@@ -63,9 +68,11 @@ def write_run(
                 written = written.sortWithinPartitions(
                     "req_id", "pair_idx", *order_columns(written)
                 )
-            _write(written, f"{out_dir}/{name}_csv/run_id={run_id}", "csv")
+            _write(written, f"{out_dir}/{name}_csv/run_id={attempt}", "csv")
     done = requests.accepted.select("req_id", F.lit(None).cast("string").alias("reason"))
-    status = done.unionByName(requests.rejected).withColumn("run_id", F.lit(run_id))
+    status = done.unionByName(requests.rejected).select(
+        "*", F.lit(run_id).alias("run_id"), F.lit(attempt).alias("attempt")
+    )
     _write(status.where(F.col("req_id").isNotNull()), f"{out_dir}/{STATUS}", "parquet", "dynamic")
 
 
@@ -76,7 +83,8 @@ def read_status(spark: SparkSession, out_dir: str) -> DataFrame:
 
 def read_current(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     """Rows of one output, each request from its current run."""
-    current = read_status(spark, out_dir).where("reason is null").select("req_id", "run_id")
+    status = spark.read.parquet(f"{out_dir}/{STATUS}").where("reason is null")
+    current = status.select("req_id", F.col("attempt").alias("run_id"))
     rows = spark.read.parquet(f"{out_dir}/{name}").drop("request")
     return rows.join(current, ["req_id", "run_id"], "left_semi").drop("run_id")
 
@@ -94,4 +102,4 @@ def write_export_view(
     pairing = export.where((F.col("req_id") == req_id) & (F.col("pair_idx") == pair_idx))
     view = export_view(order_export(pairing), columns, base_name, compare_name)
     view.write.mode("overwrite").parquet(f"{path}/parquet")
-    view.write.mode("overwrite").option("header", True).csv(f"{path}/csv")
+    view.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/csv")

@@ -186,15 +186,14 @@ def individual_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_organization_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score rows of suppliers; suppliers of one region have none."""
+    """Score rows of suppliers; those of suppliers of one region have no key, so nothing meets them."""
     supplier = table(spark, sf_dir, "supplier")
     places = _places(spark, sf_dir)
     step = F.floor(F.col("s_acctbal") / 20.0)
     return (
         supplier.join(places, F.col("s_nationkey") == F.col("n_nationkey"))
-        .where(F.col("state") != "ASIA")
         .select(
-            F.col("s_suppkey").alias("npi"),
+            F.when(F.col("state") != "ASIA", F.col("s_suppkey")).alias("npi"),
             F.concat(F.lit(" "), F.lower("s_name")).alias("address"),
             "state",
             "fips",
@@ -221,10 +220,10 @@ def specialties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hospital_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 3000)
+    supplier = table(spark, sf_dir, "supplier")
     return canonical.hospital_names(
         supplier.select(
-            F.concat(F.lower("s_name"), F.lit(" ")).alias("name"),
+            F.when(F.col("s_acctbal") >= 3000, F.concat(F.lower("s_name"), F.lit(" "))).alias("name"),
             F.concat(F.lit(" Facility "), F.col("s_suppkey").cast("string"), F.lit(" ")).alias(
                 "facility"
             ),

@@ -56,7 +56,7 @@ def _is_missing(error: AnalysisException) -> bool:
 
 def _csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All-text CSV by header name, so extra or re-ordered columns do no harm."""
-    return spark.read.csv(path, header=True).select(*[f"`{n}`" for n in schema.fieldNames()])
+    return spark.read.csv(path, header=True, escape='"').select(*[f"`{n}`" for n in schema.fieldNames()])
 
 
 def scan_individuals(
@@ -123,6 +123,7 @@ def scan_organizations(
             spark.read.schema(schemas.ORGANIZATION_FILE)
             .option("header", True)
             .option("enforceSchema", False)
+            .option("escape", '"')
             .option("pathGlobFilter", "*.csv")
             .csv(f"{root}/{ORGANIZATION_DIR}")
         )

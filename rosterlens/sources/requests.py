@@ -73,7 +73,7 @@ def parse_requests(raw: DataFrame) -> DataFrame:
         .select("id", "row.*", (F.col("row") != F.col("last")).alias("ambiguous"))
         .select(
             F.col("id").alias("req_id"),
-            whole_number(F.col("clientID")).cast("int").alias("client_id"),
+            whole_number(F.col("clientID")).try_cast("int").alias("client_id"),
             F.trim("planTypeId").alias("plan_type_id"),
             F.col("planType").alias("plan_type"),
             whole_numbers(F.col("county")).alias("counties"),
@@ -103,6 +103,8 @@ def parse_requests(raw: DataFrame) -> DataFrame:
     reason = (
         F.when(F.col("req_id").isNull(), "request id is missing")
         .when(F.col("ambiguous"), "request id is used twice")
+        .when(F.col("client_id").isNull(), "client is not a number")
+        .when(F.col("plan_type_id").isNull() | (F.col("plan_type_id") == ""), "plan type is missing")
         .when(F.col("counties").isNull() | _holds_null(F.col("counties")), "county is not a number")
         .when(F.col("base_map").isNull() | F.col("compare_map").isNull(), "networks are not JSON")
         .when(F.col("compare_ids").isNull(), "compare ids are missing")
@@ -231,8 +233,17 @@ class Requests:
 
     def restrict(self, rows: DataFrame) -> DataFrame:
         """Rows of requested raw networks in requested counties."""
-        networks = self.members.select("raw_network_id")
-        counties = self.counties.select("fips")
-        return rows.join(self.small(networks), "raw_network_id", "left_semi").join(
-            self.small(counties), "fips", "left_semi"
+        networks, counties, size = self._wanted
+        return rows.join(small_side(networks, size[0], self._limit), "raw_network_id", "left_semi").join(
+            small_side(counties, size[1], self._limit), "fips", "left_semi"
         )
+
+    @cached_property
+    def _wanted(self) -> tuple[DataFrame, DataFrame, tuple[int, int]]:
+        """The distinct raw networks and counties of all requests, and how many there are.
+
+        There are far fewer of these than of requests, so it is their number that is checked.
+        """
+        networks = cut_lineage(self.members.select("raw_network_id").distinct())
+        counties = cut_lineage(self.counties.select("fips").distinct())
+        return networks, counties, (networks.count(), counties.count())

@@ -4,6 +4,7 @@ import re
 
 import build
 
+from pyspark.sql.types import StringType, StructField, StructType
 from rosterlens import schemas
 from rosterlens.operators import sinks
 from rosterlens.plans.comparison import compare_networks, run_comparison
@@ -125,8 +126,11 @@ def test_clean_layer_gives_the_same_results(spark, golden_dir, tmp_path):
     assert sets(compare_networks(cleaned, requests)) == sets(compare_networks(inputs, requests))
 
 
+COUNTIES = ", ".join(str(c[0]) for c in sample.COUNTIES)
+
+
 def test_sample_inputs_overlap(spark):
-    requests = build.requests(spark, build.request())
+    requests = build.requests(spark, build.request(counties=COUNTIES))
     tables = compare_networks(sample.sample_inputs(spark), requests)
     counts = {tuple(r)[1:] for r in tables["provider_counts"].collect()}
     kinds = [*canonical.INDIVIDUAL_TYPES, canonical.HOSPITAL]
@@ -142,7 +146,7 @@ def test_runs_replace_each_other(spark, tmp_path):
     out = str(tmp_path / "out")
     inputs = sample.sample_inputs(spark)
     both = build.requests(
-        spark, build.request("R1"), build.request("007", client="45"), build.request("bad", counties="x")
+        spark, build.request("R1", counties=COUNTIES), build.request("007", client="45", counties=COUNTIES), build.request("bad", counties="x")
     )
     run_comparison(inputs, both, out, "first", csv=True)
     expected = sets(compare_networks(inputs, both))
@@ -164,14 +168,32 @@ def test_runs_replace_each_other(spark, tmp_path):
     run_comparison(inputs, elsewhere, out, "second")
     current = sinks.read_current(spark, out, "provider_counts")
     assert {r["req_id"] for r in current.collect()} == {"007"}
-    csv = spark.read.csv(f"{out}/specialty_counts_csv/run_id=first", header=True)
+    csv = spark.read.csv(f"{out}/specialty_counts_csv", header=True).where("run_id LIKE 'first-%'")
     assert csv.where("request = 'R1'").count() == 20
 
 
+def test_a_repeated_run_keeps_requests_it_does_not_name(spark, tmp_path):
+    out = str(tmp_path / "out")
+    inputs = sample.sample_inputs(spark)
+    first, second = build.request("R1", counties=COUNTIES), build.request("R2", counties=COUNTIES)
+    run_comparison(inputs, build.requests(spark, first, second), out, "first")
+    before = sets({"c": sinks.read_current(spark, out, "provider_counts")})
+    run_comparison(inputs, build.requests(spark, first), out, "first")
+    assert sets({"c": sinks.read_current(spark, out, "provider_counts")}) == before
+
+
+def test_quoted_cells(spark, tmp_path):
+    path = tmp_path / "names.csv"
+    path.write_text('a,b\n"St. ""Mary"" Hospital, Inc","12 ""A"" St, Suite 1"\n')
+    schema = StructType([StructField("b", StringType()), StructField("a", StringType())])
+    rows = files._csv(spark, str(path), schema).collect()
+    assert [tuple(r) for r in rows] == [('12 "A" St, Suite 1', 'St. "Mary" Hospital, Inc')]
+
+
 def test_export_view_files(spark, tmp_path):
     from rosterlens.operators import exports
 
-    requests = build.requests(spark, build.request("R1", client="45"))
+    requests = build.requests(spark, build.request("R1", client="45", counties=COUNTIES))
     export = compare_networks(sample.sample_inputs(spark), requests)["individual_export"]
     path = str(tmp_path / "view")
     columns = exports.individual_columns(45)

@@ -22,6 +22,8 @@ OUTPUTS = [
     "individual_export",
 ]
 
+COUNTIES = ", ".join(str(c[0]) for c in sample.COUNTIES)
+
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -33,7 +35,7 @@ def exchanges(df) -> int:
 
 def many_pairs(spark, pairs):
     compares = [(str(i), f"Org {i}", "100002") for i in range(2, pairs + 2)]
-    return build.requests(spark, build.request(compares=compares))
+    return build.requests(spark, build.request(compares=compares, counties=COUNTIES))
 
 
 @contextmanager
@@ -75,7 +77,7 @@ def test_the_scan_reads_only_the_needed_columns(spark, tmp_path):
     people = build.individuals(spark, dict(npi=1))
     people.write.parquet(str(tmp_path / "people"))
     rows = spark.read.parquet(str(tmp_path / "people"))
-    requests = build.requests(spark, build.request())
+    requests = build.requests(spark, build.request(counties=COUNTIES))
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan(counts.individual_counts(rows, requests)))
     read = {c.split(":")[0] for c in schema.group(1).split(",")}
     assert read == {"raw_network_id", "npi", "state", "fips", "provider_type"}

@@ -83,3 +83,32 @@ def test_large_request_tables_are_not_broadcast(spark):
         return "ResolvedHint (strategy=broadcast)" in plan
 
     assert hinted(small) and not hinted(large)
+
+
+def test_bad_values_are_rejected_one_by_one(spark):
+    bad = {
+        "fraction": dict(base=("1", "Org A", "100001.6")),
+        "county": dict(counties="6037.5"),
+        "client": dict(client="abc"),
+        "wide": dict(client="99999999999"),
+        "plan": dict(planTypeId=None),
+    }
+    table = build.requests(spark, build.request("good"), *(build.request(k, **v) for k, v in bad.items()))
+    assert [r["req_id"] for r in table.accepted.collect()] == ["good"]
+    reasons = {r["req_id"]: r["reason"] for r in table.rejected.collect()}
+    assert reasons == {
+        "fraction": "network has no usable member ids",
+        "county": "county is not a number",
+        "client": "client is not a number",
+        "wide": "client is not a number",
+        "plan": "plan type is missing",
+    }
+
+
+def test_letters_after_digits_are_no_number(spark):
+    from pyspark.sql import functions as F
+
+    from rosterlens.functions.scores import number
+
+    rows = spark.createDataFrame([("4d",), ("4f",), ("4.5",), ("1e2",)], "t string").select(number(F.col("t")))
+    assert [r[0] for r in rows.collect()] == [None, None, 4.5, 100.0]
