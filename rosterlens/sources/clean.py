@@ -52,8 +52,7 @@ def read_clean(
     """The layer as inputs; of providers and scores only the given networks and counties.
 
     The lists become static filters: networks choose the folders that are listed, counties
-    are pushed down to the row groups. ``Requests`` gives both lists, or None if one is too
-    long, and every row is then read and joined with the request tables instead.
+    are pushed down to the row groups. ``Requests`` gives both lists.
     """
 
     def table(name: str) -> DataFrame:

@@ -8,11 +8,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rosterlens import schemas
 from rosterlens.functions.scores import whole_number
@@ -32,6 +34,8 @@ HOSPITAL_NAMES_CSV = "Hospital_name_mapping.csv"
 INDIVIDUAL_MARKET_CSV = "network_performance_countywise.csv"
 HOSPITAL_MARKET_CSV = "network_performance_countywise_hospital.csv"
 
+FILE_NAME = "__file_name"
+
 
 @dataclass(frozen=True)
 class Inputs:
@@ -54,9 +58,60 @@ def _is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def _csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All-text CSV by header name, so extra or re-ordered columns do no harm."""
-    return spark.read.csv(path, header=True, escape='"').select(*[f"`{n}`" for n in schema.fieldNames()])
+def _csv(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    marker: str | None = None,
+    keep: Column | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """All-text CSV by header name, so extra or re-ordered columns do no harm.
+
+    With a marker, a column name that no data cell equals, the path may stand for many files:
+    files are read in groups that share a header, and a column tells the file of a row.
+    ``keep`` is a condition on the files.
+    Line breaks within cells need ``multi_line``, which reads a file in one task.
+    """
+    names = [F.col(f"`{n}`") for n in schema.fieldNames()]
+
+    def read(paths: str | list[str], *more: Column) -> DataFrame:
+        rows = spark.read.csv(paths, header=True, escape='"', multiLine=multi_line)
+        return rows.select(*names, *more)
+
+    if marker is None:
+        return read(path)
+    file_name = F.col("_metadata.file_name").alias(FILE_NAME)
+    headers = _headers(spark, path, marker, keep)
+    if not headers:
+        return _empty(spark, StructType([*schema.fields, StructField(FILE_NAME, StringType())]))
+    return reduce(DataFrame.unionByName, [read(paths, file_name) for paths in headers])
+
+
+def _headers(spark: SparkSession, path: str, marker: str, keep: Column | None) -> list[list[str]]:
+    """Paths of the files grouped by header line: one short row per file, as a file listing has.
+
+    A file with lines but without the marker in a header is an error; empty files are left out.
+    """
+    lines = spark.read.text(path)
+    if keep is not None:
+        lines = lines.where(keep)
+    # The byte order mark and a carriage return are not part of a name.
+    header = F.regexp_replace("value", "^\ufeff|\r$", "")
+    cells = F.transform(F.split(header, ","), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
+    is_header = F.col("value").contains(marker) & F.array_contains(cells, marker)
+    files = (
+        lines.where(F.length("value") > 0)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.max(F.when(is_header, header)).alias("header"))
+    )
+    groups: dict[str, list[str]] = {}
+    for row in files.orderBy("file").collect():
+        if row["header"] is None:
+            raise ValueError(f"no column {marker!r} in {row['file']}")
+        # The path of a file comes with its special characters escaped.
+        groups.setdefault(row["header"], []).append(unquote(row["file"]))
+    return [groups[header] for header in sorted(groups)]
 
 
 def scan_individuals(
@@ -118,22 +173,23 @@ def scan_organizations(
     spark: SparkSession, root: str, raw_network_ids: list[int] | None = None
 ) -> DataFrame:
     """Organization files of the given raw networks; a network without a file adds no rows."""
+    keep = F.col("_metadata.file_name").endswith(".csv")
+    if raw_network_ids is not None:
+        keep = keep & F.col("_metadata.file_name").isin([f"{i}.csv" for i in raw_network_ids])
     try:
-        files = (
-            spark.read.schema(schemas.ORGANIZATION_FILE)
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("escape", '"')
-            .option("pathGlobFilter", "*.csv")
-            .csv(f"{root}/{ORGANIZATION_DIR}")
+        files = _csv(
+            spark,
+            f"{root}/{ORGANIZATION_DIR}",
+            schemas.ORGANIZATION_FILE,
+            marker="FIPS State County Code",
+            keep=keep,
+            multi_line=True,
         )
     except AnalysisException as error:
         if not _is_missing(error):
             raise
         return _empty(spark, schemas.ORGANIZATIONS)
-    if raw_network_ids is not None:
-        files = files.where(F.col("_metadata.file_name").isin([f"{i}.csv" for i in raw_network_ids]))
-    raw_network_id = F.regexp_extract("_metadata.file_name", r"^(.*)\.csv$", 1)
+    raw_network_id = F.regexp_extract(FILE_NAME, r"^(.*)\.csv$", 1)
     return files.select(
         whole_number(raw_network_id).alias("raw_network_id"),
         whole_number(F.col("npi")).alias("npi"),
@@ -161,8 +217,11 @@ def scan_organizations(
     )
 
 
-def individual_scores(spark: SparkSession, root: str) -> DataFrame:
-    raw = _csv(spark, f"{root}/{INDIVIDUAL_SCORES_CSV}", schemas.INDIVIDUAL_SCORE_FILE)
+def individual_scores(
+    spark: SparkSession, root: str, name: str = INDIVIDUAL_SCORES_CSV
+) -> DataFrame:
+    """Scores of the named file; a pattern reads all files it matches, each by its own header."""
+    raw = _csv(spark, f"{root}/{name}", schemas.INDIVIDUAL_SCORE_FILE, marker="County FIPS")
     return canonical.individual_scores(
         raw.select(
             whole_number(F.col("NPI")).alias("npi"),
@@ -179,8 +238,13 @@ def individual_scores(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def organization_scores(spark: SparkSession, root: str) -> DataFrame:
-    raw = _csv(spark, f"{root}/{ORGANIZATION_SCORES_CSV}", schemas.ORGANIZATION_SCORE_FILE)
+def organization_scores(
+    spark: SparkSession, root: str, name: str = ORGANIZATION_SCORES_CSV
+) -> DataFrame:
+    """Scores of the named file; a pattern reads all files it matches, each by its own header."""
+    raw = _csv(
+        spark, f"{root}/{name}", schemas.ORGANIZATION_SCORE_FILE, marker="FIPS State County Code"
+    )
     return canonical.organization_scores(
         raw.select(
             whole_number(F.col("npi")).alias("npi"),
@@ -203,7 +267,7 @@ def specialties(spark: SparkSession, root: str) -> DataFrame:
 
 def hospital_names(spark: SparkSession, root: str) -> DataFrame:
     return canonical.hospital_names(
-        _csv(spark, f"{root}/{HOSPITAL_NAMES_CSV}", schemas.HOSPITAL_NAME_FILE)
+        _csv(spark, f"{root}/{HOSPITAL_NAMES_CSV}", schemas.HOSPITAL_NAME_FILE, multi_line=True)
     )
 
 
@@ -219,9 +283,14 @@ def read_inputs(
     root: str,
     raw_network_ids: list[int] | None = None,
     counties: list[int] | None = None,
+    individual_scores_csv: str = INDIVIDUAL_SCORES_CSV,
+    organization_scores_csv: str = ORGANIZATION_SCORES_CSV,
 ) -> Inputs:
     """Every canonical table of one data directory.
 
+    A folder that holds the scores of several payers needs the names of the two score files;
+    by default all that match the pattern are read and the best score of a key counts.
+
     The lists, which ``Requests`` gives, are static filters: networks choose the files that
     are opened, and counties are pushed down to the provider files and below the grouping
     of the score rows.
@@ -237,8 +306,8 @@ def read_inputs(
         organizations=in_counties(
             canonical.clean_organizations(scan_organizations(spark, root, raw_network_ids))
         ),
-        individual_scores=in_counties(individual_scores(spark, root)),
-        organization_scores=in_counties(organization_scores(spark, root)),
+        individual_scores=in_counties(individual_scores(spark, root, individual_scores_csv)),
+        organization_scores=in_counties(organization_scores(spark, root, organization_scores_csv)),
         specialties=specialties(spark, root),
         hospital_names=hospital_names(spark, root),
         market=in_counties(market(spark, root)),

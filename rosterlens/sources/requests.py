@@ -19,7 +19,7 @@ from rosterlens.functions.labels import (
     whole_numbers,
 )
 from rosterlens.functions.scores import whole_number
-from rosterlens.operators.broadcast import ROW_LIMIT, small_side
+from rosterlens.operators.broadcast import BLOCK_ROWS, ROW_LIMIT, blocks, keep_listed, small_side
 from rosterlens.operators.lineage import cut_lineage
 
 _NETWORKS = "map<string, struct<parentOrganization:string, planBidIds:string, networkIds:string>>"
@@ -124,10 +124,9 @@ def parse_requests(raw: DataFrame) -> DataFrame:
     )
 
 
-def _listed(table: DataFrame, column: str, limit: int) -> list[int] | None:
-    """The distinct values of a column for a static filter, unless there are too many."""
-    values = table.select(column).distinct().limit(limit + 1).collect()
-    return None if len(values) > limit else sorted(row[column] for row in values)
+def _listed(table: DataFrame, column: str) -> list[int]:
+    """The distinct values of a column, in order, for a static filter."""
+    return sorted(row[column] for row in table.select(column).distinct().collect())
 
 
 class Requests:
@@ -140,10 +139,13 @@ class Requests:
     ``rejected``  req_id, reason
     """
 
-    def __init__(self, raw: DataFrame, broadcast_rows: int = ROW_LIMIT):
+    def __init__(
+        self, raw: DataFrame, broadcast_rows: int = ROW_LIMIT, block_rows: int = BLOCK_ROWS
+    ):
         # Parsed once for the several tables below, which keeps their plans short as well.
         parsed = cut_lineage(parse_requests(raw))
         self._limit = broadcast_rows
+        self._block_rows = block_rows
         self.accepted = parsed.where(F.col("reason").isNull()).drop("reason")
         self.rejected = parsed.where(F.col("reason").isNotNull()).select("req_id", "reason")
         self.spark = raw.sparkSession
@@ -223,27 +225,28 @@ class Requests:
         """Hint a broadcast of a request table if all request tables are small."""
         return small_side(table, self.rows, self._limit)
 
-    def raw_network_ids(self, limit: int = 10_000) -> list[int] | None:
-        """Distinct raw networks to prune files by; None if there are more than ``limit``."""
-        return _listed(self.members, "raw_network_id", limit)
+    def raw_network_ids(self) -> list[int]:
+        """Distinct raw networks, each the name of a folder whose files are to be read."""
+        return _listed(self.members, "raw_network_id")
 
-    def county_codes(self, limit: int = 10_000) -> list[int] | None:
-        """Distinct counties to skip row groups by; None if there are more than ``limit``."""
-        return _listed(self.counties, "fips", limit)
+    def county_codes(self) -> list[int]:
+        """Distinct counties, of which a country has some thousands, to skip row groups by."""
+        return _listed(self.counties, "fips")
 
     def restrict(self, rows: DataFrame) -> DataFrame:
-        """Rows of requested raw networks in requested counties."""
-        networks, counties, size = self._wanted
-        return rows.join(small_side(networks, size[0], self._limit), "raw_network_id", "left_semi").join(
-            small_side(counties, size[1], self._limit), "fips", "left_semi"
-        )
-
-    @cached_property
-    def _wanted(self) -> tuple[DataFrame, DataFrame, tuple[int, int]]:
-        """The distinct raw networks and counties of all requests, and how many there are.
+        """Rows of requested raw networks in requested counties; the rows are never exchanged.
 
-        There are far fewer of these than of requests, so it is their number that is checked.
+        Networks and counties are few and hot, so the lists go to the rows, whatever their length.
         """
+        networks, counties = self._wanted
+        return keep_listed(keep_listed(rows, networks, "raw_network_id"), counties, "fips")
+
+    @cached_property
+    def _wanted(self) -> tuple[list[DataFrame], list[DataFrame]]:
+        """The distinct raw networks and counties of all requests, in blocks of checked size."""
         networks = cut_lineage(self.members.select("raw_network_id").distinct())
         counties = cut_lineage(self.counties.select("fips").distinct())
-        return networks, counties, (networks.count(), counties.count())
+        return (
+            blocks(networks, "raw_network_id", self._block_rows),
+            blocks(counties, "fips", self._block_rows),
+        )

@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import build
+import pytest
 
 from pyspark.sql.types import StringType, StructField, StructType
 from rosterlens import schemas
@@ -201,3 +202,37 @@ def test_export_view_files(spark, tmp_path):
     view = spark.read.parquet(f"{path}/parquet")
     assert "Org A HMO/HMO-POS" in view.columns and view.count() == export.count()
     assert spark.read.csv(f"{path}/csv", header=True).columns == view.columns
+
+
+def test_files_with_reordered_headers(spark, tmp_path):
+    cells = {"npi": "1", "Address First Line": "1 Main St", "state": "AZ", "FIPS State County Code": "4013"}
+    cells |= {"Quality Score": "4.5", "Cost Score": "2", "FFS Utilization Score": "1", "MA Utilization Score": "3"}
+    for number, names in enumerate((list(cells), list(cells)[::-1])):
+        row = {**cells, "npi": str(number)}
+        lines = [",".join(names), ",".join(row[n] for n in names)]
+        (tmp_path / f"Scores for Organization - {number}.csv").write_text("\n".join(lines) + "\n")
+    rows = files.organization_scores(spark, str(tmp_path)).collect()
+    assert sorted((r["npi"], r["quality"], r["cost"]) for r in rows) == [(0, 4.5, 2.0), (1, 4.5, 2.0)]
+    named = files.organization_scores(spark, str(tmp_path), "Scores for Organization - 1.csv")
+    assert [r["npi"] for r in named.collect()] == [1]
+
+
+def test_organization_files_by_their_own_headers(spark, tmp_path):
+    folder = tmp_path / "network_files" / "Organization"
+    folder.mkdir(parents=True)
+    names = schemas.ORGANIZATION_FILE.fieldNames()
+    given = {"npi": "1", "Address First Line": '"1 ""A"" St\nSuite 2, Back"', "FIPS State County Code": "25001"}
+    for network, order in (("7", names), ("8", names[::-1]), ("9", [*names, "extra"])):
+        cells = ",".join(given.get(n, "x") for n in order)
+        (folder / f"{network}.csv").write_text(",".join(order) + "\n" + cells + "\n")
+    found = files.scan_organizations(spark, str(tmp_path)).collect()
+    expected = {(n, 1, 25001, '1 "A" St\nSuite 2, Back') for n in (7, 8, 9)}
+    assert {(r["raw_network_id"], r["npi"], r["fips"], r["address"]) for r in found} == expected
+    assert files.scan_organizations(spark, str(tmp_path), [8]).count() == 1
+    assert files.scan_organizations(spark, str(tmp_path), [10]).count() == 0
+
+
+def test_a_score_file_without_its_columns_is_an_error(spark, tmp_path):
+    (tmp_path / "Score for Individual - X.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="County FIPS"):
+        files.individual_scores(spark, str(tmp_path))

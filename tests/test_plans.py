@@ -153,3 +153,23 @@ def test_hot_provider_is_one_row_per_task_in_the_counts(spark, tmp_path):
         people, build.individual_scores(spark, dict(npi=7, quality="4")), requests
     )
     assert {r["band"]: r["quality"] for r in rows.collect()} == {"High": 1, "Medium": 0, "Low": 0}
+
+
+def test_providers_are_not_exchanged_by_network_or_county(spark, inputs):
+    """Also where the request tables and the lists are too long for one broadcast."""
+    wanted = build.request(counties=COUNTIES)
+    short = build.requests(spark, wanted)
+    with settings(spark, **{k: v for k, v in SMALL_PARTITIONS.items() if "Broadcast" in k}):
+        long = build.requests(spark, wanted, broadcast_rows=0, block_rows=1)
+        rows = long.restrict(inputs.individuals)
+        text = plan(rows)
+        assert "hashpartitioning(raw_network_id" not in text and "hashpartitioning(fips" not in text
+        assert text.count("BroadcastHashJoin") > 2
+        found = sorted(map(tuple, rows.collect()), key=str)
+    assert found == sorted(map(tuple, short.restrict(inputs.individuals).collect()), key=str) and found
+
+
+def test_pruning_holds_for_many_networks(spark):
+    raw = ",".join(str(i) for i in range(1, 20_001))
+    requests = build.requests(spark, build.request(base=("1", "Org A", raw)))
+    assert len(requests.raw_network_ids()) == 20_001

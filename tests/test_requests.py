@@ -29,7 +29,6 @@ def test_pairs_members_sides_and_counties(spark):
     assert sides[(1, 100002)] == (False, True)
     assert {r["fips"] for r in requests.counties.collect()} == {4013, 6037}
     assert requests.raw_network_ids() == [7, 100001, 100002, 100003]
-    assert requests.raw_network_ids(limit=2) is None
     assert requests.county_codes() == [4013, 6037]
 
 
