@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 21
+#: Array operations on a byte take some hundred bytes of memory, so slices are small.
+SLICE_BYTES = 1 << 19
 ROWS_PER_BATCH = 2000
 BYTES_PER_BATCH = 1 << 23
 

@@ -34,6 +34,8 @@ WORDS = 5
 PERCENT = 75
 SHORT = 32
 BLOCK_ENTRIES = 500_000
+#: Copies within a slice send their entries once.
+ENTRY_SLICE = 1 << 20
 #: Shingles that come last in the order, at most so many; the order changes no result.
 FREQUENT = 1 << 17
 FREQUENT_LEAST = 24
@@ -169,7 +171,7 @@ def _entries(texts: DataFrame, frequent: np.ndarray, places: np.ndarray, blocks:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, buf, offsets in text_slices(batch.column(0), 1 << 22):
+            for _, _, buf, offsets in text_slices(batch.column(0), ENTRY_SLICE):
                 found, bounds = shingle_sets(buf, offsets)
                 keys = set_keys(found, bounds)
                 picked, last, row = prefix(found, bounds, frequent, places)
