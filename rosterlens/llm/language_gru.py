@@ -240,6 +240,9 @@ def held_out():
     return F.coalesce(remainder == 2, F.lit(False))
 
 
+SAMPLE_PARTS = 16
+
+
 def training_sample(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Windows spread over the texts of a bounded sample of labelled documents.
 
@@ -253,11 +256,16 @@ def training_sample(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, list[str]]
     labels = sorted(row[0] for row in languages.collect())
     if not labels:
         return np.zeros((0, WINDOW), np.int16), np.zeros(0, np.int64), []
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    # First in parts of a language, so that the last task's rows do not grow with the table.
+    part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SAMPLE_PARTS))
+    within = Window.partitionBy("lang", "part").orderBy(*order)
     chosen = (
         known.where(F.col("lang").isin(labels))
-        .select("doc_id", "lang")
-        .withColumn("nth", F.row_number().over(order))
+        .select("doc_id", "lang", part.alias("part"))
+        .withColumn("nth", F.row_number().over(within))
+        .where(F.col("nth") <= DOCUMENTS_PER_LANGUAGE)
+        .withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
         .where(F.col("nth") <= DOCUMENTS_PER_LANGUAGE)
         .select("doc_id")
         .distinct()
