@@ -15,7 +15,7 @@ from rosterlens.llm.common import prepare, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go, and those whose best language has less than 0.4."""
+    """Documents without a letter go, and those in which no language stands out from the others."""
     return language_gru.keep_known(docs)
 
 

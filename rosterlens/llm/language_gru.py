@@ -348,20 +348,39 @@ def predict(docs: DataFrame, net: Network | None = None) -> DataFrame:
     return source.mapInArrow(judge, schema)
 
 
-LEAST_SCORE = 0.4
+#: How far above 1 / labels, as a share of it, the best score of a text of a window or more must be.
+MARGIN = 0.1
 
 
-def keep_known(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows whose language is found with at least this score, all columns as they were."""
+def undecided(best: np.ndarray, size: np.ndarray, labels: int, margin: float = MARGIN) -> np.ndarray:
+    """Whether best scores are within the margin of 1 / labels, which says nothing.
+
+    The margin follows the number of labels, and is smaller for texts of less than a window, as
+    few bytes are no reason to reject. A single label leaves nothing to decide.
+    """
+    if labels < 2:
+        return np.zeros(len(best), bool)
+    return best * labels < 1 + margin * np.minimum(1, size / WINDOW)
+
+
+def keep_known(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
+    """The rows with a letter whose language is not ``undecided``, all columns as they were.
+
+    A text that is null, empty or without a letter goes. If there is nothing to learn from, as
+    no labelled row is outside the held-out ones, all rows with a letter stay.
+    """
     prepare(docs.sparkSession)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.where(text.rlike(_LETTER))
     net = fit(docs)
+    if net is None:
+        return rows
 
     def known(texts: pa.Array) -> pa.Array:
         keep = np.zeros(len(texts), bool)
         for low, high, buf, offsets in text_slices(texts):
-            if net is not None:
-                keep[low:high] = pooled(net, buf, offsets)[0].max(axis=1) >= least
+            best = pooled(net, buf, offsets)[0].max(axis=1)
+            keep[low:high] = ~undecided(best, np.diff(offsets), len(net.labels), margin)
         return pa.array(keep)
 
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.where(text.rlike(_LETTER)).where(F.arrow_udf(known, "boolean")(text))
+    return rows.where(F.arrow_udf(known, "boolean")(text))

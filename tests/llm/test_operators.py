@@ -281,6 +281,35 @@ def test_language(spark, docs, empty):
     assert language_gru.predict(empty).collect() == []
 
 
+def test_known_languages_stay(spark, docs, monkeypatch):
+    def kept(table):
+        return by_id(language_gru.keep_known(table).collect())
+
+    letters = by_id(r for r in rows() if any(c.isalpha() for c in r[1] or ""))
+    # Nothing to learn from: no label, and labelled rows that are all held out.
+    assert kept(docs.selectExpr("doc_id", "text", "CAST(NULL AS string) lang", "fingerprint", "row", "cls")) == by_id(
+        (r[0], r[1], None, *r[3:]) for r in letters
+    )
+    held = [r[0] for r in rows() if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 4 == 2]
+    assert held and kept(docs.where(docs.doc_id.isin(held))) == by_id(r for r in letters if r[0] in held)
+    # Of many languages none reaches a fixed share, but one stands out.
+    net = language_gru.new_network([f"l{i:02}" for i in range(40)])
+    monkeypatch.setattr(language_gru, "fit", lambda table: net)
+    scores = [r["score"] for r in language_gru.predict(docs, net).where("lang_pred != 'und'").collect()]
+    assert max(scores) < 0.4 and min(scores) > 1.1 / 40
+    assert kept(docs) == letters
+    # A network that has no preference rejects.
+    net.out[:] = 0
+    assert kept(docs) == []
+
+
+def test_margin_follows_labels_and_length():
+    best, size = np.array([0.27, 0.28, 0.253, 0.251]), np.array([64, 64, 2, 2])
+    assert language_gru.undecided(best, size, 4).tolist() == [True, False, False, False]
+    assert not language_gru.undecided(best, size, 40).any()
+    assert not language_gru.undecided(np.ones(1), np.array([500]), 1).any()
+
+
 def test_warc(spark):
     found = [(5, "http://b.org/x", "<p>é</p>"), (2, "http://a.org/", "<p>é</p>"), (9, "http://a.org/", "<p>é</p>"), (3, None, None),
              (4, "u\r\nWARC/1.1", ""), (7, "http://a.org:80/?q=1", "WARC/1.1\r\n\r\nContent-Length: 3\r\n"), (None, "http://c", "own")]
