@@ -22,10 +22,11 @@ HIDDEN = 8
 SIDE_BY_SIDE = 2048
 PAD = 256
 UNKNOWN = "und"
-#: Bounds of the training sample.
+#: Bounds of the training sample, for each language.
 DOCUMENTS_PER_LANGUAGE = 400
 WINDOWS_PER_DOCUMENT = 4
-MOST_LANGUAGES = 64
+#: Languages in one training step; all are scored in every step.
+LANGUAGES_PER_STEP = 256
 
 
 @dataclass
@@ -170,9 +171,14 @@ def train(windows: np.ndarray, target: np.ndarray, labels: list[str], steps: int
     weights = [net.embed, net.recur, net.out, net.bias]
     first = [np.zeros_like(w) for w in weights]
     second = [np.zeros_like(w) for w in weights]
+    # Where the languages do not fit into one step, there are more steps.
+    steps *= -(-len(labels) // LANGUAGES_PER_STEP)
     for step in range(1, steps + 1):
+        some = by_label
+        if len(labels) > LANGUAGES_PER_STEP:
+            some = [by_label[k] for k in rng.choice(len(labels), LANGUAGES_PER_STEP, replace=False)]
         # As many windows of each language, so that a common one is not preferred.
-        pick = np.concatenate([rng.choice(ids, -(-batch // len(labels))) for ids in by_label])
+        pick = np.concatenate([rng.choice(ids, -(-batch // len(some))) for ids in some])
         x = np.ascontiguousarray(windows[pick].T)
         mask = (x != PAD).astype(np.float32)
         ahead, trace_a = _run(*_folded(net.embed[0], net.recur[0]), x, True)
@@ -217,8 +223,10 @@ def pooled(net: Network, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarr
     n, k = len(offsets) - 1, len(net.labels)
     windows, row = cut_windows(buf, offsets)
     total, votes = np.zeros((n, k)), np.zeros((n, k), np.int64)
-    for low in range(0, len(row), SIDE_BY_SIDE):
-        part = slice(low, low + SIDE_BY_SIDE)
+    # Fewer windows at a time where there are many labels, as each byte has a probability of each.
+    side = max(1, min(SIDE_BY_SIDE, (SIDE_BY_SIDE << 4) // k))
+    for low in range(0, len(row), side):
+        part = slice(low, low + side)
         x = np.ascontiguousarray(windows[part].T).astype(np.intp)
         probability = position_probabilities(net, x)
         mask = x != PAD
@@ -244,37 +252,36 @@ SAMPLE_PARTS = 16
 
 
 def training_sample(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Windows spread over the texts of a bounded sample of labelled documents.
+    """Windows spread over the texts of a sample of labelled documents, bounded for each language.
 
-    The sample has at most DOCUMENTS_PER_LANGUAGE documents of each of at most MOST_LANGUAGES
-    languages, chosen by a hash of their ids. Only windows of these reach the driver.
+    The sample has at most DOCUMENTS_PER_LANGUAGE documents of each language, chosen by a hash of
+    their ids, and of an id with several rows in a language one. Only windows of these reach the
+    driver.
     """
     known = docs.where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") > 0)
     ).where(~held_out())
-    languages = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    labels = sorted(row[0] for row in languages.collect())
-    if not labels:
-        return np.zeros((0, WINDOW), np.int16), np.zeros(0, np.int64), []
+    known = known.select("doc_id", "lang", "text", F.xxhash64("text").alias("text_hash"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     # First in parts of a language, so that the last task's rows do not grow with the table.
     part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SAMPLE_PARTS))
     within = Window.partitionBy("lang", "part").orderBy(*order)
     chosen = (
-        known.where(F.col("lang").isin(labels))
-        .select("doc_id", "lang", part.alias("part"))
+        known.groupBy("doc_id", "lang")
+        .agg(F.min("text_hash").alias("text_hash"))
+        .withColumn("part", part)
         .withColumn("nth", F.row_number().over(within))
         .where(F.col("nth") <= DOCUMENTS_PER_LANGUAGE)
         .withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
         .where(F.col("nth") <= DOCUMENTS_PER_LANGUAGE)
-        .select("doc_id")
-        .distinct()
+        .select("doc_id", "lang", "text_hash")
     )
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.column(0)
-            for low, _, buf, offsets in text_slices(batch.column(1)):
+            ids, names = batch.column(0), batch.column(1)
+            for low, _, buf, offsets in text_slices(batch.column(2)):
                 cut, row = cut_windows(buf, offsets)
                 count = np.bincount(row, minlength=len(offsets) - 1)
                 begin = np.cumsum(count) - count
@@ -282,21 +289,27 @@ def training_sample(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, list[str]]
                 for r, c in enumerate(count.tolist()):
                     pick += sorted({begin[r] + c * j // WINDOWS_PER_DOCUMENT for j in range(WINDOWS_PER_DOCUMENT if c else 0)})
                 pick = np.array(pick, np.int64)
+                of = pa.array(row[pick] + low)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        names.take(pa.array(row[pick] + low)),
+                        ids.take(of), names.take(of), pa.array(pick - begin[row[pick]]),
                         pa.array([w.tobytes() for w in cut[pick]], pa.binary()),
                     ],
-                    ["lang", "bytes"],
-                )
-
-    # At most MOST_LANGUAGES * DOCUMENTS_PER_LANGUAGE ids: small by construction.
-    texts = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
-    rows = texts.where(F.col("lang").isin(labels)).select("lang", "text")
-    found = rows.mapInArrow(windows, "lang string, bytes binary").collect()
-    found = sorted((labels.index(r[0]), bytes(r[1])) for r in found)
+                    ["doc_id", "lang", "nth", "bytes"],
+                )
+
+    # At most DOCUMENTS_PER_LANGUAGE ids a language: small by construction.
+    texts = known.join(F.broadcast(chosen), ["doc_id", "lang", "text_hash"], "left_semi")
+    rows = texts.select("doc_id", "lang", "text").mapInArrow(
+        windows, f"doc_id {kind}, lang string, nth long, bytes binary"
+    )
+    # Repeated rows give the same windows, of which one stays.
+    once = rows.groupBy("doc_id", "lang", "nth").agg(F.min("bytes").alias("bytes"))
+    found = sorted((r[0], bytes(r[1])) for r in once.select("lang", "bytes").collect())
+    labels = sorted({name for name, _ in found})
+    number = {name: k for k, name in enumerate(labels)}
     x = np.frombuffer(b"".join(b for _, b in found), np.int16).reshape(-1, WINDOW)
-    return x, np.array([k for k, _ in found]), labels
+    return x, np.array([number[name] for name, _ in found], np.int64), labels
 
 
 def fit(docs: DataFrame) -> Network | None:

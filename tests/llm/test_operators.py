@@ -281,6 +281,31 @@ def test_language(spark, docs, empty):
     assert language_gru.predict(empty).collect() == []
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(2)
+    # Each of 70 languages is written in letters of its own.
+    found = [(i, " ".join(chr(0x4E00 + 40 * (i % 70) + rng.randrange(3)) * 3 for _ in range(20)), f"l{i % 70:02}") for i in range(1400)]
+    table = spark.createDataFrame(found, "doc_id long, text string, lang string")
+    assert language_gru.training_sample(table)[2] == sorted({f[2] for f in found})
+
+
+def test_repeated_ids_count_once_in_the_sample(spark):
+    found = [(1, "the thing and the other " * 20, "en")] * 500 + [(1, f"another text {i} " * 20, "en") for i in range(50)]
+    found += [(1, "das Ding und das andere " * 20, "de"), (3, "and with the shed " * 20, "en"), (4, "", "en")]
+    assert all(zlib.crc32(str(f[0]).encode()) % 4 != 2 for f in found)
+    table = spark.createDataFrame(found, "doc_id long, text string, lang string").repartition(5)
+    windows, target, labels = language_gru.training_sample(table)
+    assert labels == ["de", "en"] and np.bincount(target).tolist() == [4, 8]
+
+
+def test_more_languages_than_fit_into_a_step(monkeypatch):
+    monkeypatch.setattr(language_gru, "LANGUAGES_PER_STEP", 2)
+    windows = np.repeat(np.arange(97, 102, dtype=np.int16)[:, None], 64, axis=1)
+    net = language_gru.train(windows, np.arange(5), list("abcde"), steps=60)
+    raw = np.ascontiguousarray(windows.astype(np.uint8).ravel())
+    assert language_gru.pooled(net, raw, np.arange(6) * 64)[0].argmax(axis=1).tolist() == [0, 1, 2, 3, 4]
+
+
 def test_known_languages_stay(spark, docs, monkeypatch):
     def kept(table):
         return by_id(language_gru.keep_known(table).collect())
