@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlens.llm import bpe, exact_dedup, hilbert_neighbours, jaccard_join, language_gru, licenses, packing, pii_crf, substring_dedup, warc
+from rosterlens.llm import bpe, exact_dedup, fill_in_middle, hilbert_neighbours, jaccard_join, language_gru, licenses, packing, pii_crf, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op6_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_neighbours.neighbours(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_hilbert_neighbours": op6_hilbert_neighbours,
     "op5_substring_dedup": op5_substring_dedup,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op9_bpe_round_trip": op9_bpe_round_trip,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -124,5 +129,35 @@ SELECT doc_id,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op12_fill_in_middle": r"""
+WITH tokens AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t,
+           sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS digest
+    FROM documents
+), drawn AS (
+    SELECT doc_id, text, t, len(t) AS n,
+           ('0x' || digest[1:8])::BIGINT AS h1, ('0x' || digest[9:16])::BIGINT AS h2,
+           ('0x' || digest[17:24])::BIGINT AS h3, ('0x' || digest[25:32])::BIGINT AS h4
+    FROM tokens
+), cut AS (
+    SELECT doc_id, text, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR h3 % 100 >= 90 THEN 'plain'
+                WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), parts AS (
+    SELECT doc_id, text, n, form, coalesce(array_to_string(t[1:a], ''), '') AS p,
+           coalesce(array_to_string(t[a + 1:b], ''), '') AS m, coalesce(array_to_string(t[b + 1:], ''), '') AS s
+    FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
 """,
 }
