@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlens.llm import bpe, exact_dedup, fill_in_middle, hilbert_neighbours, jaccard_join, language_gru, licenses, packing, pii_crf, substring_dedup, warc
+from rosterlens.llm import bpe, exact_dedup, fill_in_middle, hilbert_neighbours, jaccard_join, language_gru, licenses, packing, pii_crf, simhash_anchors, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(_table(spark, sf_dir, "documents"))
 
 
+def op13_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_anchors.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_hilbert_neighbours": op6_hilbert_neighbours,
     "op5_substring_dedup": op5_substring_dedup,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_simhash_anchors": op13_simhash_anchors,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
