@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlens.llm import bpe, exact_dedup, fill_in_middle, hilbert_neighbours, jaccard_join, language_gru, licenses, packing, pii_crf, simhash_anchors, substring_dedup, warc
+from rosterlens.llm import bpe, exact_dedup, fill_in_middle, hilbert_neighbours, jaccard_join, language_gru, licenses, packing, phrase_mining, pii_crf, simhash_anchors, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op13_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_anchors.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_hilbert_neighbours": op6_hilbert_neighbours,
     "op5_substring_dedup": op5_substring_dedup,
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op9_bpe_round_trip": op9_bpe_round_trip,
+    "op11_phrase_mining": op11_phrase_mining,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_simhash_anchors": op13_simhash_anchors,
 }
@@ -164,5 +169,41 @@ SELECT doc_id, n, form,
                         ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
        sha256(text) AS restored_sha256
 FROM parts
+""",
+    "op11_phrase_mining": rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+    SELECT lang, k AS size, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3)) AS sizes(k))
+), f AS (
+    SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang
+), candidates AS (
+    SELECT lang, size, phrase, n AS a FROM f WHERE size > 1 AND n >= 10
+), cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first_part, array_to_string(w[k + 1:], ' ') AS rest
+    FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM candidates)
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, k, x.n AS l, y.n AS r,
+           (1000000::HUGEINT * c.a * c.a) // (x.n::HUGEINT * y.n) AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = first_part JOIN f y ON y.lang = c.lang AND y.phrase = rest
+), best AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a
+    FROM (SELECT lang, a, string_split(phrase, ' ') AS w FROM candidates WHERE size = 3)
+), kept AS (
+    SELECT * FROM best b WHERE NOT EXISTS (
+        SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.a >= 50 * b.a)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, totals.n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
 }
