@@ -14,11 +14,13 @@ active early. These are then counted for a full circle as well, so counts are ex
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlens.llm.common import (
@@ -212,11 +214,14 @@ def count_phrases(
     steps: list[DataFrame] = []
     step, last = 0, shards
     while step < last:
-        scan = _step(spark, corpus.where(F.col("shard") == step % shards), since, step, shards, most_words)
+        # Most slots are never taken, so the table is sent in a compressed form.
+        shared = spark.sparkContext.broadcast(zlib.compress(since.tobytes(), 1))
+        scan = _step(corpus.where(F.col("shard") == step % shards), shared, step, shards, most_words)
         if steps:
             scan = scan.unionByName(steps[-1].where("not complete").select(*key, "n"))
         counts = scan.groupBy(*key).agg(F.sum("n").alias("n"))
         steps.append(_written(counts.withColumn("complete", F.col("start") + shards <= step + 1), "complete"))
+        shared.destroy()
         before, since = since, _reached(steps[-1], since, step, least, most_words)
         if (before != since).any():
             last = max(last, step + 1 + shards)
@@ -228,14 +233,12 @@ def count_phrases(
     return found.where((F.col("n") >= least) | (F.col("length") == 0)).select("lang", "phrase", "length", "n")
 
 
-def _step(
-    spark: SparkSession, shard: DataFrame, since: np.ndarray, step: int, shards: int, most_words: int
-) -> DataFrame:
+def _step(shard: DataFrame, shared: Broadcast[bytes], step: int, shards: int, most_words: int) -> DataFrame:
     """The counts of one scan, combined within slices only."""
-    shared = spark.sparkContext.broadcast(since)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _scan(batches, shared.value, step, shards, most_words)
+        since = np.frombuffer(zlib.decompress(shared.value), np.uint8)
+        yield from _scan(batches, since, step, shards, most_words)
 
     return shard.select("lang", "text").mapInArrow(scan, _COUNTS)
 
