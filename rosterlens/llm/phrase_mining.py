@@ -32,14 +32,16 @@ from rosterlens.llm.common import (
     rows_of,
     shared_folder,
     spans,
+    text_bytes,
     text_slices,
     word_hashes,
 )
 
-SHARDS = 4
+#: More shards make longer phrases active sooner; fewer carry open counts on less often.
+SHARDS = 2
 #: Slots of the table of active phrases, of one byte each.
 SLOTS = 1 << 24
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 21
 
 # Lengths, threshold and bounds of the report; what separates pieces and words.
 MOST_WORDS, LEAST = 3, 10
@@ -52,7 +54,8 @@ _WORD = byte_class(others=b".,;:!?\n\x0b\x0c\r \t")
 
 _NEVER = 255
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_COUNTS = "lang string, phrase string, length int, slot int, start int, n long"
+_COUNTS = "lang string, phrase string, start int, n long"
+_LENGTH = "CASE WHEN phrase = '' THEN 0 ELSE length(phrase) - length(replace(phrase, ' ', '')) + 1 END"
 
 
 # ---- phrases of a slice -----------------------------------------------------------------------
@@ -78,6 +81,24 @@ def _strings(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.string(), len(starts), buffers)
 
 
+def _begun(seeds: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of phrases of one word."""
+    return mix(seeds ^ words)
+
+
+def _longer(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of phrases with one more word."""
+    with np.errstate(over="ignore"):
+        return mix(hashes * _STEP + words)
+
+
+def _languages(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct languages of a batch, their hashes, and the number of each row's."""
+    coded = column.dictionary_encode()
+    digests = [hashlib.blake2b(name.encode(), digest_size=8).digest() for name in coded.dictionary.to_pylist()]
+    return coded.dictionary, np.frombuffer(b"".join(digests), "<u8"), coded.indices.to_numpy().astype(np.int64)
+
+
 def _parts(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, lower-case bytes and offsets of slices; a long text is cut between its pieces."""
     for low, _, buf, offsets in text_slices(column, SLICE_BYTES):
@@ -98,8 +119,8 @@ def _parts(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 def _counted(
     buf: np.ndarray, offsets: np.ndarray, language: np.ndarray, seeds: np.ndarray, since: np.ndarray, step: int, shards: int, most_words: int
-) -> Iterator[tuple[np.ndarray, pa.Array, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Language, phrase, length, slot, first step and count of the active phrases of a slice.
+) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
+    """Language, phrase, first step and count of the active phrases of a slice.
 
     The number of all words of a language comes as the phrase of no words.
     """
@@ -115,49 +136,58 @@ def _counted(
     if step < shards:
         found, n = np.unique(language[row], return_counts=True)
         none = np.zeros(len(found), np.int64)
-        yield found, _strings(text, none, none), 0, none, none, n
-    hashes, first = mix(seeds[language[row]] ^ words), np.zeros(len(starts), np.int64)
+        yield found, _strings(text, none, none), none, n
+    hashes, first = _begun(seeds[language[row]], words), np.zeros(len(starts), np.int64)
     for length in range(1, most_words + 1):
         if length > 1:
             whole = piece[: -(length - 1)] == piece[length - 1 :]
             reached = since[(hashes & mask).astype(np.int64)].astype(np.int64)
             first = np.where(whole, np.maximum(reached[:-1], reached[1:]), _NEVER)
-            with np.errstate(over="ignore"):
-                hashes = mix(hashes[:-1] * _STEP + words[length - 1 :])
+            hashes = _longer(hashes[:-1], words[length - 1 :])
         active = np.flatnonzero((first <= step) & (step < first + shards))
         if len(active):
-            key, index, n = np.unique(hashes[active], return_index=True, return_counts=True)
+            _, index, n = np.unique(hashes[active], return_index=True, return_counts=True)
             i = active[index]
             last = i + length - 1
-            phrases = _strings(text, at[i], at[last] + (ends - starts)[last])
-            yield language[row[i]], phrases, length, (key & mask).astype(np.int64), first[i], n
+            yield language[row[i]], _strings(text, at[i], at[last] + (ends - starts)[last]), first[i], n
         if len(hashes) < 2:
             return
 
 
 def _scan(batches: Iterator[pa.RecordBatch], since: np.ndarray, step: int, shards: int, most_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        languages = batch.column("lang").dictionary_encode()
-        names = languages.dictionary
-        code = languages.indices.to_numpy().astype(np.int64)
-        digests = [hashlib.blake2b(name.encode(), digest_size=8).digest() for name in names.to_pylist()]
-        seeds = np.frombuffer(b"".join(digests), "<u8")
+        names, seeds, code = _languages(batch.column("lang"))
         for low, buf, offsets in _parts(batch.column("text")):
             own = code[low : low + len(offsets) - 1]
-            for lang, phrases, length, slot, first, n in _counted(buf, offsets, own, seeds, since, step, shards, most_words):
+            for lang, phrases, first, n in _counted(buf, offsets, own, seeds, since, step, shards, most_words):
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        names.take(pa.array(lang)),
-                        phrases,
-                        pa.array(np.full(len(n), length, np.int32)),
-                        pa.array(slot.astype(np.int32)),
-                        pa.array(first.astype(np.int32)),
-                        pa.array(n),
-                    ],
-                    ["lang", "phrase", "length", "slot", "start", "n"],
+                    [names.take(pa.array(lang)), phrases, pa.array(first.astype(np.int32)), pa.array(n)],
+                    ["lang", "phrase", "start", "n"],
                 )
 
 
+def _slots(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
+    """The slots of phrases as bits, 64 slots a row."""
+    for batch in batches:
+        _, seeds, code = _languages(batch.column("lang"))
+        buf, offsets = text_bytes(batch.column("phrase"))
+        starts, ends = spans(buf != 32, offsets)
+        words = word_hashes(buf, starts, ends)
+        size = np.bincount(rows_of(starts, offsets), minlength=len(code))
+        first = np.cumsum(size) - size
+        hashes = _begun(seeds[code], words[first])
+        for k in range(1, size.max(initial=0)):
+            more = np.flatnonzero(size > k)
+            hashes[more] = _longer(hashes[more], words[first[more] + k])
+        slot = hashes & np.uint64(slots - 1)
+        word, at = np.unique(slot >> np.uint64(6), return_inverse=True)
+        bits = np.zeros(len(word), np.uint64)
+        np.bitwise_or.at(bits, at, np.uint64(1) << (slot & np.uint64(63)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(word.astype(np.int64)), pa.array(bits.view(np.int64))], ["word", "bits"]
+        )
+
+
 # ---- scans in a circle ------------------------------------------------------------------------
 
 
@@ -168,14 +198,20 @@ def _written(table: DataFrame, *parts: str) -> DataFrame:
     return spark.read.schema(table.schema).parquet(path)
 
 
-def _reached(counts: DataFrame, since: np.ndarray, step: int, least: int, most_words: int) -> np.ndarray:
+def _reached(counts: DataFrame, since: np.ndarray, step: int, most_words: int) -> np.ndarray:
     """The table of slots after a step; new entries may be used from the next step on.
 
     What reaches the driver is one bit a slot, combined before the shuffle.
     """
-    bit = F.expr("shiftleft(1L, slot % 64)")
-    over = (F.col("n") >= least) & F.col("length").between(1, most_words - 1)
-    words = counts.where(over).groupBy(F.expr("slot div 64").alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    frequent = counts.where("frequent").where(F.expr(_LENGTH).between(1, most_words - 1))
+
+    n_slots = len(since)
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _slots(batches, n_slots)
+
+    found = frequent.select("lang", "phrase").mapInArrow(slots, "word long, bits long")
+    words = found.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
     if not len(words):
         return since
     bits = np.zeros(len(since) // 64, np.uint64)
@@ -192,10 +228,9 @@ def count_phrases(
     Words are joined by one space. The phrase of length 0 has the number of all words of its
     language. ``slots`` is a power of two; fewer make more phrases active than need be and change
     no count. A language with most texts is many shards' rows; its phrases combine before the
-    shuffle. There are at most ``shards * most_words`` steps, fewer than 255, and as many tables
-    of the phrases that are being counted; those of past steps are deleted. Memory: a slice of
-    SLICE_BYTES takes some 100 bytes a byte; a longer text is cut between its pieces, so a piece is
-    held whole.
+    shuffle. There are at most ``shards * most_words`` steps, fewer than 255; each writes the
+    phrases it completes and those it carries on. Memory: a slice takes some 100 bytes for each of
+    SLICE_BYTES; a longer text is cut between its pieces, so a piece is held whole.
     """
     if shards * most_words >= _NEVER:
         raise ValueError("too many steps")
@@ -210,7 +245,7 @@ def count_phrases(
         "shard",
     )
     since = np.full(slots, _NEVER, np.uint8)
-    key = ["lang", "phrase", "length", "slot", "start"]
+    key = ["lang", "phrase", "start"]
     steps: list[DataFrame] = []
     step, last = 0, shards
     while step < last:
@@ -220,17 +255,24 @@ def count_phrases(
         if steps:
             scan = scan.unionByName(steps[-1].where("not complete").select(*key, "n"))
         counts = scan.groupBy(*key).agg(F.sum("n").alias("n"))
-        steps.append(_written(counts.withColumn("complete", F.col("start") + shards <= step + 1), "complete"))
+        counts = counts.withColumns(
+            {
+                "complete": F.col("start") + shards <= step + 1,
+                "frequent": (F.col("n") >= least) | (F.col("phrase") == ""),
+            }
+        )
+        # Folders of their own, so the frequent ones are found without reading the others.
+        steps.append(_written(counts, "complete", "frequent"))
         shared.destroy()
-        before, since = since, _reached(steps[-1], since, step, least, most_words)
+        before, since = since, _reached(steps[-1], since, step, most_words)
         if (before != since).any():
             last = max(last, step + 1 + shards)
         step += 1
     drop_stored(corpus)
     found = steps[0].where("false")
     for table in steps:
-        found = found.unionByName(table.where("complete"))
-    return found.where((F.col("n") >= least) | (F.col("length") == 0)).select("lang", "phrase", "length", "n")
+        found = found.unionByName(table.where("complete and frequent"))
+    return found.select("lang", "phrase", F.expr(_LENGTH).alias("length"), "n")
 
 
 def _step(shard: DataFrame, shared: Broadcast[bytes], step: int, shards: int, most_words: int) -> DataFrame:
