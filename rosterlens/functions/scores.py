@@ -6,6 +6,7 @@ from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, FractionalType, LongType, StringType
 
 from rosterlens.functions.text import MISSING
 
@@ -43,6 +44,27 @@ def whole_number(col: Column) -> Column:
     return F.when(value == F.floor(value), value).try_cast("bigint")
 
 
+def as_type(col: Column, found: DataType, wanted: DataType) -> Column:
+    """A value in the declared type, whatever type the file stores it with.
+
+    A number without a fraction is a whole number and is written as one; NaN and what cannot be
+    read are null. A column that has the declared type already stays as it is, so that filters
+    on it reach the file.
+    """
+    if found == wanted:
+        return col
+    whole = whole_number(col) if isinstance(found, StringType) else col.try_cast("bigint")
+    if isinstance(found, FractionalType):
+        number_ = col if isinstance(found, DecimalType) else F.when(~F.isnan(col), col)
+        whole = F.when(number_ == F.floor(number_), number_).try_cast("bigint")
+        col = number_
+    if isinstance(wanted, LongType):
+        return whole
+    if isinstance(wanted, StringType) and isinstance(found, FractionalType):
+        return F.coalesce(whole.cast("string"), col.cast("string"))
+    return col.try_cast(wanted)
+
+
 def score_band(score: Column) -> Column:
     """Band of a 1-5 cost or quality score."""
     return (

@@ -7,19 +7,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from rosterlens import schemas
-from rosterlens.functions.scores import whole_number
+from rosterlens.functions.scores import as_type, whole_number
 from rosterlens.functions.text import match_key
-from rosterlens.sources import canonical
+from rosterlens.sources import canonical, catalogue, records
 from rosterlens.sources.codes import excluded_codes
 
 INDIVIDUAL_DIR = "network_files/Individual"
@@ -54,94 +53,94 @@ def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _is_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
 def _csv(
     spark: SparkSession,
     path: str,
     schema: StructType,
     marker: str | None = None,
-    keep: Column | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
     """All-text CSV by header name, so extra or re-ordered columns do no harm.
 
-    With a marker, a column name that no data cell equals, the path may stand for many files:
-    files are read in groups that share a header, and a column tells the file of a row.
-    ``keep`` is a condition on the files.
-    Line breaks within cells need ``multi_line``, which reads a file in one task.
+    With a marker, a column that every header has, the path may stand for many files: files are
+    read in groups that share a header, and a column tells the file of a row. ``keep`` picks
+    from the table of files by their ``path``. These files are cut into splits at true ends of
+    records, so line breaks within cells do not keep a large file in one task. Without a marker
+    line breaks need ``multi_line``, which reads a file in one task.
     """
     names = [F.col(f"`{n}`") for n in schema.fieldNames()]
-
-    def read(paths: str | list[str], *more: Column) -> DataFrame:
-        rows = spark.read.csv(paths, header=True, escape='"', multiLine=multi_line)
-        return rows.select(*names, *more)
-
     if marker is None:
-        return read(path)
-    file_name = F.col("_metadata.file_name").alias(FILE_NAME)
-    headers = _headers(spark, path, marker, keep)
-    if not headers:
-        return _empty(spark, StructType([*schema.fields, StructField(FILE_NAME, StringType())]))
-    return reduce(DataFrame.unionByName, [read(paths, file_name) for paths in headers])
+        return spark.read.csv(path, header=True, escape='"', multiLine=multi_line).select(*names)
+    empty = _empty(spark, StructType([*schema.fields, StructField(FILE_NAME, StringType())]))
+    files = catalogue.file_table(spark, path)
+    if files is None:
+        raise FileNotFoundError(f"no such file: {path}")
+    if keep is not None:
+        files = keep(files)
+    lengths = files.select(F.col("path").alias("of"), "length")
+    found = catalogue.csv_headers(files, path)
+    found = found.join(lengths, found["path"] == lengths["of"]).drop("of")
+    groups = _by_header(found, marker)
+    read = [_cells(spark, header, rows, path).select(*names, FILE_NAME) for header, rows in groups]
+    return reduce(DataFrame.unionByName, read) if read else empty
 
 
-def _headers(spark: SparkSession, path: str, marker: str, keep: Column | None) -> list[list[str]]:
-    """Paths of the files grouped by header line: one short row per file, as a file listing has.
+def _by_header(headers: DataFrame, marker: str) -> list[tuple[list[str], list[tuple]]]:
+    """Path, start of the data and length of the files of every header.
 
-    A file with lines but without the marker in a header is an error; empty files are left out.
+    One short row per file, as a file listing has. A file without the marker in its header is an
+    error; empty files are left out.
     """
-    lines = spark.read.text(path)
-    if keep is not None:
-        lines = lines.where(keep)
-    # The byte order mark and a carriage return are not part of a name.
-    header = F.regexp_replace("value", "^\ufeff|\r$", "")
-    cells = F.transform(F.split(header, ","), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
-    is_header = F.col("value").contains(marker) & F.array_contains(cells, marker)
-    files = (
-        lines.where(F.length("value") > 0)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.max(F.when(is_header, header)).alias("header"))
-    )
-    groups: dict[str, list[str]] = {}
-    for row in files.orderBy("file").collect():
-        if row["header"] is None:
-            raise ValueError(f"no column {marker!r} in {row['file']}")
-        # The path of a file comes with its special characters escaped.
-        groups.setdefault(row["header"], []).append(unquote(row["file"]))
-    return [groups[header] for header in sorted(groups)]
+    groups: dict[tuple, list[tuple]] = {}
+    for row in headers.where(F.size("header") > 0).orderBy("path").collect():
+        if marker not in row["header"]:
+            raise ValueError(f"no column {marker!r} in {row['path']}")
+        file = (row["path"], row["body"], row["length"])
+        groups.setdefault(tuple(row["header"]), []).append(file)
+    return [(list(header), groups[header]) for header in sorted(groups)]
+
+
+def _cells(spark: SparkSession, header: list[str], files: list[tuple], path: str) -> DataFrame:
+    """The cells of files that share a header, as text, and the names of their files."""
+    if not catalogue.is_reachable(path):
+        rows = spark.read.csv([file[0] for file in files], header=True, escape='"', multiLine=True)
+        return rows.select("*", F.col("_metadata.file_name").alias(FILE_NAME))
+    # A name that comes twice is the first column of that name.
+    names = [n if n not in header[:i] else f"{n}__{i}" for i, n in enumerate(header)]
+    lines = records.records(spark.createDataFrame(files, "path string, body long, length long"))
+    ddl = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    row = F.from_csv("record", ddl, {"escape": '"'}).alias("row")
+    file_name = F.element_at(F.split("path", "/"), -1).alias(FILE_NAME)
+    return lines.select(row, file_name).select("row.*", FILE_NAME)
 
 
 def scan_individuals(
-    spark: SparkSession, root: str, raw_network_ids: list[int] | None = None
+    spark: SparkSession, root: str, raw_network_ids: list[int] | DataFrame | None = None
 ) -> DataFrame:
     """All individual files of the given raw networks (all networks by default).
 
-    Files are matched to the declared schema by column name. The file-name conditions
-    are on constant file metadata, so excluded files are dropped when files are listed
-    and never opened.
+    Networks may be a list or a table with a column ``raw_network_id``; a table is joined to the
+    list of files. Excluded files and those of other networks are dropped from that list and never
+    opened. Of the others the footers are read first, and files that store the columns with the
+    same types are read together, so a column may be a number in one file and text in another, or
+    be absent. Values become the declared type: a whole number is read from text, and from a
+    double without a fraction; what cannot be read is null.
     """
-    try:
-        files = (
-            spark.read.schema(schemas.INDIVIDUAL_FILE)
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.parquet")
-            .parquet(f"{root}/{INDIVIDUAL_DIR}")
-        )
-    except AnalysisException as error:
-        if not _is_missing(error):
-            raise
+    folder = f"{root}/{INDIVIDUAL_DIR}"
+    files = catalogue.file_table(spark, folder, "*.parquet")
+    if files is None:
         return _empty(spark, schemas.INDIVIDUALS)
-    wanted = ~F.col("_metadata.file_name").isin([f"{c}.parquet" for c in excluded_codes()])
-    if raw_network_ids is not None:
-        wanted = wanted & F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+$", 1).isin(
-            [str(i) for i in raw_network_ids]
-        )
-    raw_network_id = F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+$", 1)
-    return files.where(wanted).select(
-        whole_number(raw_network_id).alias("raw_network_id"),
+    code = F.regexp_extract("path", r"/([^/]+)\.parquet$", 1)
+    network = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
+    files = _of_networks(files.where(~code.isin(excluded_codes())), network, raw_network_ids)
+    names = schemas.INDIVIDUAL_FILE.fieldNames()
+    groups = catalogue.by_signature(catalogue.parquet_footers(files, folder, names))
+    if not groups:
+        return _empty(spark, schemas.INDIVIDUALS)
+    read = [_declared(spark.read.parquet(*paths), present) for present, paths in groups]
+    return reduce(DataFrame.unionByName, read).select(
+        "raw_network_id",
         "npi",
         "type",
         "presentation_name",
@@ -169,25 +168,51 @@ def scan_individuals(
     )
 
 
+def _of_networks(files: DataFrame, network: Column, wanted: list[int] | DataFrame | None) -> DataFrame:
+    """The files of the wanted networks."""
+    if wanted is None:
+        return files
+    if isinstance(wanted, DataFrame):
+        ids = wanted.select("raw_network_id").distinct()
+        return files.join(ids, whole_number(network) == ids["raw_network_id"], "left_semi")
+    return files.where(network.isin([str(i) for i in wanted]))
+
+
+def _declared(rows: DataFrame, present: list[str]) -> DataFrame:
+    """The declared columns of individual files and their network, from files that agree in types."""
+    types = {field.name: field.dataType for field in rows.schema.fields}
+    raw_network_id = F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+$", 1)
+    return rows.select(
+        whole_number(raw_network_id).alias("raw_network_id"),
+        *[
+            (
+                as_type(F.col(f"`{field.name}`"), types[field.name], field.dataType)
+                if field.name in present
+                else F.lit(None).cast(field.dataType)
+            ).alias(field.name)
+            for field in schemas.INDIVIDUAL_FILE.fields
+        ],
+    )
+
+
 def scan_organizations(
-    spark: SparkSession, root: str, raw_network_ids: list[int] | None = None
+    spark: SparkSession, root: str, raw_network_ids: list[int] | DataFrame | None = None
 ) -> DataFrame:
     """Organization files of the given raw networks; a network without a file adds no rows."""
-    keep = F.col("_metadata.file_name").endswith(".csv")
-    if raw_network_ids is not None:
-        keep = keep & F.col("_metadata.file_name").isin([f"{i}.csv" for i in raw_network_ids])
+    folder = f"{root}/{ORGANIZATION_DIR}"
     try:
         files = _csv(
             spark,
-            f"{root}/{ORGANIZATION_DIR}",
+            folder,
             schemas.ORGANIZATION_FILE,
             marker="FIPS State County Code",
-            keep=keep,
-            multi_line=True,
+            keep=lambda found: _of_networks(
+                found.where(F.col("path").endswith(".csv")),
+                F.regexp_extract("path", r"([^/]+)\.csv$", 1),
+                raw_network_ids,
+            ),
         )
-    except AnalysisException as error:
-        if not _is_missing(error):
-            raise
+    except FileNotFoundError:
         return _empty(spark, schemas.ORGANIZATIONS)
     raw_network_id = F.regexp_extract(FILE_NAME, r"^(.*)\.csv$", 1)
     return files.select(
@@ -281,8 +306,8 @@ def market(spark: SparkSession, root: str) -> DataFrame:
 def read_inputs(
     spark: SparkSession,
     root: str,
-    raw_network_ids: list[int] | None = None,
-    counties: list[int] | None = None,
+    raw_network_ids: list[int] | DataFrame | None = None,
+    counties: list[int] | DataFrame | None = None,
     individual_scores_csv: str = INDIVIDUAL_SCORES_CSV,
     organization_scores_csv: str = ORGANIZATION_SCORES_CSV,
 ) -> Inputs:
@@ -291,12 +316,14 @@ def read_inputs(
     A folder that holds the scores of several payers needs the names of the two score files;
     by default all that match the pattern are read and the best score of a key counts.
 
-    The lists, which ``Requests`` gives, are static filters: networks choose the files that
-    are opened, and counties are pushed down to the provider files and below the grouping
-    of the score rows.
+    Networks and counties may be lists or tables, both of which ``Requests`` gives. Networks
+    choose the files that are opened. A list of counties is pushed down to the provider files and
+    below the grouping of the score rows; a table of counties is joined there.
     """
 
     def in_counties(rows: DataFrame) -> DataFrame:
+        if isinstance(counties, DataFrame):
+            return rows.join(counties.select("fips").distinct(), "fips", "left_semi")
         return rows if counties is None else rows.where(F.col("fips").isin(counties))
 
     return Inputs(
