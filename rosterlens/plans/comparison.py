@@ -97,29 +97,39 @@ def compare_networks(
     }
 
 
-def run_comparison(
+def run_tables(
     inputs: Inputs,
     requests: Requests,
-    out_dir: str,
-    run_id: str,
     suppressed: list[int] = counts.SUPPRESSED_NETWORKS,
     fill_blanks: bool = False,
-    csv: bool = False,
-) -> None:
-    """Evaluate all requests and write every output under ``out_dir``.
+) -> dict[str, DataFrame]:
+    """All outputs for a run that writes every one of them.
 
     What several outputs share is written once: the requested rows in the few columns the
     three aggregate tables use, and the hospital rows that go into both exports.
     """
-    prepare(requests.spark)
     reduced = requested_inputs(inputs, requests)
     reduced = replace(
         reduced,
         individuals=cut_lineage(reduced.individuals),
         organizations=cut_lineage(reduced.organizations),
     )
-    tables = {
+    return {
         **aggregate_tables(reduced, requests, suppressed, fill_blanks),
         **export_tables(inputs, requests, cut_lineage(hospital_rows(inputs, requests))),
     }
+
+
+def run_comparison(
+    inputs: Inputs,
+    requests: Requests,
+    out_dir: str,
+    run_id: str,
+    suppressed: list[int] = counts.SUPPRESSED_NETWORKS,
+    fill_blanks: bool = False,
+    csv: bool = False,
+) -> None:
+    """Evaluate all requests and write every output under ``out_dir``."""
+    prepare(requests.spark)
+    tables = run_tables(inputs, requests, suppressed, fill_blanks)
     write_run(tables, requests, out_dir, run_id, csv)

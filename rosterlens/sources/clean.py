@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlens.sources.files import Inputs
+from rosterlens.sources.requests import Requests
 
 _PROVIDERS = ("individuals", "organizations")
 _SCORES = ("individual_scores", "organization_scores")
@@ -48,21 +49,26 @@ def read_clean(
     path: str,
     raw_network_ids: list[int] | None = None,
     counties: list[int] | None = None,
+    requests: Requests | None = None,
 ) -> Inputs:
     """The layer as inputs; of providers and scores only the given networks and counties.
 
-    The lists become static filters: networks choose the folders that are listed, counties
-    are pushed down to the row groups. ``Requests`` gives both lists.
+    Lists become static filters: networks choose the folders that are listed, counties are pushed
+    down to the row groups. With ``requests`` nothing is collected: every output joins the
+    providers with the requested networks, and that join finds the folders when the job runs;
+    scores and benchmarks are joined with the requested counties below their grouping.
     """
 
     def table(name: str) -> DataFrame:
         rows = spark.read.parquet(f"{path}/{name}")
-        if name in _PROVIDERS + _SCORES and counties is not None:
+        if name in _PROVIDERS:
+            if raw_network_ids is not None:
+                rows = rows.where(F.col("raw_network_id").isin(raw_network_ids))
+            rows = rows.withColumn("raw_network_id", F.col("raw_network_id").cast("bigint"))
+        if counties is not None and name in _PROVIDERS + _SCORES:
             rows = rows.where(F.col("fips").isin(counties))
-        if name not in _PROVIDERS:
-            return rows
-        if raw_network_ids is not None:
-            rows = rows.where(F.col("raw_network_id").isin(raw_network_ids))
-        return rows.withColumn("raw_network_id", F.col("raw_network_id").cast("bigint"))
+        if requests is not None and name in (*_SCORES, "market"):
+            rows = requests.in_counties(rows)
+        return rows
 
     return Inputs(**{field.name: table(field.name) for field in fields(Inputs)})

@@ -20,6 +20,7 @@ from rosterlens.functions.scores import as_type, whole_number
 from rosterlens.functions.text import match_key
 from rosterlens.sources import canonical, catalogue, records
 from rosterlens.sources.codes import excluded_codes
+from rosterlens.sources.requests import Requests
 
 INDIVIDUAL_DIR = "network_files/Individual"
 ORGANIZATION_DIR = "network_files/Organization"
@@ -306,32 +307,35 @@ def market(spark: SparkSession, root: str) -> DataFrame:
 def read_inputs(
     spark: SparkSession,
     root: str,
-    raw_network_ids: list[int] | DataFrame | None = None,
-    counties: list[int] | DataFrame | None = None,
+    raw_network_ids: list[int] | None = None,
+    counties: list[int] | None = None,
     individual_scores_csv: str = INDIVIDUAL_SCORES_CSV,
     organization_scores_csv: str = ORGANIZATION_SCORES_CSV,
+    requests: Requests | None = None,
 ) -> Inputs:
     """Every canonical table of one data directory.
 
     A folder that holds the scores of several payers needs the names of the two score files;
     by default all that match the pattern are read and the best score of a key counts.
 
-    Networks and counties may be lists or tables, both of which ``Requests`` gives. Networks
-    choose the files that are opened. A list of counties is pushed down to the provider files and
-    below the grouping of the score rows; a table of counties is joined there.
+    Lists of networks and counties are static filters: networks choose the files that are opened,
+    and counties are pushed down to the provider files and below the grouping of the score rows.
+    With ``requests`` nothing but the paths of the files is collected: their networks are joined
+    to the list of files, and their counties to the rows.
     """
+    networks = requests.raw_networks if requests is not None else raw_network_ids
 
     def in_counties(rows: DataFrame) -> DataFrame:
-        if isinstance(counties, DataFrame):
-            return rows.join(counties.select("fips").distinct(), "fips", "left_semi")
+        if requests is not None:
+            rows = requests.in_counties(rows)
         return rows if counties is None else rows.where(F.col("fips").isin(counties))
 
     return Inputs(
         individuals=in_counties(
-            canonical.clean_individuals(scan_individuals(spark, root, raw_network_ids))
+            canonical.clean_individuals(scan_individuals(spark, root, networks))
         ),
         organizations=in_counties(
-            canonical.clean_organizations(scan_organizations(spark, root, raw_network_ids))
+            canonical.clean_organizations(scan_organizations(spark, root, networks))
         ),
         individual_scores=in_counties(individual_scores(spark, root, individual_scores_csv)),
         organization_scores=in_counties(organization_scores(spark, root, organization_scores_csv)),

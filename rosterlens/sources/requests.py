@@ -24,6 +24,9 @@ from rosterlens.operators.lineage import cut_lineage
 
 _NETWORKS = "map<string, struct<parentOrganization:string, planBidIds:string, networkIds:string>>"
 
+# A release is a folder below the data root and nothing else.
+_NO_FOLDER = r"(^|/)\.\.?(/|$)|[:*?\[\]{}\\]|^/"
+
 
 def _holds_null(array) -> F.Column:
     return F.exists(array, lambda x: x.isNull())
@@ -74,6 +77,7 @@ def parse_requests(raw: DataFrame) -> DataFrame:
         .select(
             F.col("id").alias("req_id"),
             whole_number(F.col("clientID")).try_cast("int").alias("client_id"),
+            F.coalesce(F.trim("filespath"), F.lit("")).alias("release"),
             F.trim("planTypeId").alias("plan_type_id"),
             F.col("planType").alias("plan_type"),
             whole_numbers(F.col("county")).alias("counties"),
@@ -107,6 +111,7 @@ def parse_requests(raw: DataFrame) -> DataFrame:
         .when(F.col("plan_type_id").isNull() | (F.col("plan_type_id") == ""), "plan type is missing")
         .when(F.col("counties").isNull() | _holds_null(F.col("counties")), "county is not a number")
         .when(F.col("base_map").isNull() | F.col("compare_map").isNull(), "networks are not JSON")
+        .when(F.col("release").rlike(_NO_FOLDER), "data release is not a folder name")
         .when(F.col("compare_ids").isNull(), "compare ids are missing")
         .when(F.exists("compare_ids", lambda i: i == ""), "compare id is blank")
         .when(F.col("compare_names").isNull(), "compare names are missing")
@@ -116,6 +121,7 @@ def parse_requests(raw: DataFrame) -> DataFrame:
     return parsed.select(
         "req_id",
         "client_id",
+        "release",
         "counties",
         _merged(F.col("networks")).alias("networks"),
         F.col("base")[0]["network_id"].alias("base_id"),
@@ -124,6 +130,19 @@ def parse_requests(raw: DataFrame) -> DataFrame:
     )
 
 
+def _of_releases(parsed: DataFrame, releases: DataFrame) -> DataFrame:
+    """Requests with the root of their release; a release with two roots is no release."""
+    roots = (
+        releases.groupBy(F.trim("release").alias("named"))
+        .agg(F.min("root").alias("root"), F.max("root").alias("other"))
+        .where("root = other")
+        .drop("other")
+    )
+    joined = parsed.join(roots, parsed["release"] == roots["named"], "left").drop("named")
+    unknown = F.when(F.col("root").isNull(), "data release is unknown")
+    return joined.withColumn("reason", F.coalesce("reason", unknown))
+
+
 def _listed(table: DataFrame, column: str) -> list[int]:
     """The distinct values of a column, in order, for a static filter."""
     return sorted(row[column] for row in table.select(column).distinct().collect())
@@ -132,6 +151,9 @@ def _listed(table: DataFrame, column: str) -> list[int]:
 class Requests:
     """The request tables of one job.
 
+    ``releases`` names the data releases the requests are about, with their root folders as
+    ``release, root``; requests about others are rejected. Without it any release is accepted.
+
     ``pairs``     req_id, pair_idx, client_id, base and compare id, name, raw networks, counties
     ``members``   req_id, network_id, network_name, raw_network_id
     ``sides``     req_id, pair_idx, raw_network_id, in_base, in_compare, two_networks
@@ -140,15 +162,48 @@ class Requests:
     """
 
     def __init__(
-        self, raw: DataFrame, broadcast_rows: int = ROW_LIMIT, block_rows: int = BLOCK_ROWS
+        self,
+        raw: DataFrame,
+        broadcast_rows: int = ROW_LIMIT,
+        block_rows: int = BLOCK_ROWS,
+        releases: DataFrame | None = None,
     ):
         # Parsed once for the several tables below, which keeps their plans short as well.
-        parsed = cut_lineage(parse_requests(raw))
+        parsed = parse_requests(raw)
+        if releases is not None:
+            parsed = _of_releases(parsed, releases)
+        self._set(cut_lineage(parsed), broadcast_rows, block_rows)
+
+    def _set(self, parsed: DataFrame, broadcast_rows: int, block_rows: int) -> None:
+        self._parsed = parsed
         self._limit = broadcast_rows
         self._block_rows = block_rows
         self.accepted = parsed.where(F.col("reason").isNull()).drop("reason")
         self.rejected = parsed.where(F.col("reason").isNotNull()).select("req_id", "reason")
-        self.spark = raw.sparkSession
+        self.spark = parsed.sparkSession
+
+    def _with(self, parsed: DataFrame) -> Requests:
+        other = object.__new__(Requests)
+        other._set(parsed, self._limit, self._block_rows)
+        return other
+
+    def of_release(self, release: str) -> Requests:
+        """The accepted requests about one data release."""
+        wanted = F.col("reason").isNull() & (F.col("release") == release)
+        return self._with(self._parsed.where(wanted))
+
+    def reject_releases(self, releases: list[str], reason: str) -> Requests:
+        """These requests, those about the given releases rejected."""
+        if not releases:
+            return self
+        refused = F.col("reason").isNull() & F.col("release").isin(releases)
+        return self._with(self._parsed.withColumn("reason", F.when(refused, reason).otherwise(F.col("reason"))))
+
+    def release_roots(self) -> dict[str, str | None]:
+        """The data releases of the accepted requests, each one folder, and their roots if given."""
+        root = F.col("root") if "root" in self.accepted.columns else F.lit(None).cast("string")
+        found = self.accepted.groupBy("release").agg(F.min(root).alias("root"))
+        return {row["release"]: row["root"] for row in found.orderBy("release").collect()}
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -233,19 +288,43 @@ class Requests:
         """Distinct counties, of which a country has some thousands, to skip row groups by."""
         return _listed(self.counties, "fips")
 
+    @cached_property
+    def raw_networks(self) -> DataFrame:
+        """The distinct raw networks as a table, which readers join instead of collecting them."""
+        return self._wanted[0]
+
     def restrict(self, rows: DataFrame) -> DataFrame:
         """Rows of requested raw networks in requested counties; the rows are never exchanged.
 
         Networks and counties are few and hot, so the lists go to the rows, whatever their length.
+        Where networks are folders, the broadcast also tells the scan which of them to read.
         """
-        networks, counties = self._wanted
-        return keep_listed(keep_listed(rows, networks, "raw_network_id"), counties, "fips")
+        return self.in_counties(keep_listed(rows, self._blocks[0], "raw_network_id"))
+
+    def in_counties(self, rows: DataFrame) -> DataFrame:
+        """Rows in requested counties, by a broadcast that is never larger than a block."""
+        return keep_listed(rows, self._blocks[1], "fips")
+
+    @cached_property
+    def _wanted(self) -> tuple[DataFrame, DataFrame]:
+        """The distinct raw networks and counties of all requests, found and written in one job.
+
+        The kind that tells them apart is a filter on what is broadcast, and Spark prunes folders
+        by a join only if it sees one.
+        """
+        networks = self.members.select(F.lit("network").alias("kind"), F.col("raw_network_id").alias("id"))
+        counties = self.counties.select(F.lit("county").alias("kind"), F.col("fips").alias("id"))
+        both = cut_lineage(networks.unionByName(counties).where("id is not null").distinct())
+
+        def of(kind: str, name: str) -> DataFrame:
+            return both.where(F.col("kind") == kind).select(F.col("id").alias(name))
+
+        return of("network", "raw_network_id"), of("county", "fips")
 
     @cached_property
-    def _wanted(self) -> tuple[list[DataFrame], list[DataFrame]]:
-        """The distinct raw networks and counties of all requests, in blocks of checked size."""
-        networks = cut_lineage(self.members.select("raw_network_id").distinct())
-        counties = cut_lineage(self.counties.select("fips").distinct())
+    def _blocks(self) -> tuple[list[DataFrame], list[DataFrame]]:
+        """The distinct raw networks and counties in blocks of checked size."""
+        networks, counties = self._wanted
         return (
             blocks(networks, "raw_network_id", self._block_rows),
             blocks(counties, "fips", self._block_rows),
