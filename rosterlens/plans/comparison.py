@@ -12,6 +12,7 @@ from rosterlens.operators.sinks import write_run
 from rosterlens.session import prepare
 from rosterlens.sources.files import Inputs
 from rosterlens.sources.requests import Requests
+from rosterlens.sources.status import request_source_status
 
 _INDIVIDUAL_COLUMNS = ["raw_network_id", *indicators.INDIVIDUAL_ROW]
 _ORGANIZATION_COLUMNS = ["raw_network_id", *indicators.ORGANIZATION_ROW]
@@ -114,10 +115,15 @@ def run_tables(
         individuals=cut_lineage(reduced.individuals),
         organizations=cut_lineage(reduced.organizations),
     )
-    return {
+    tables = {
         **aggregate_tables(reduced, requests, suppressed, fill_blanks),
         **export_tables(inputs, requests, cut_lineage(hospital_rows(inputs, requests))),
     }
+    if inputs.raw_individuals is not None and inputs.raw_organizations is not None:
+        tables["source_status"] = request_source_status(
+            requests, inputs.raw_individuals, inputs.raw_organizations
+        )
+    return tables
 
 
 def run_comparison(
@@ -128,8 +134,13 @@ def run_comparison(
     suppressed: list[int] = counts.SUPPRESSED_NETWORKS,
     fill_blanks: bool = False,
     csv: bool = False,
+    client_files: bool = False,
 ) -> None:
-    """Evaluate all requests and write every output under ``out_dir``."""
+    """Evaluate all requests and write every output under ``out_dir``.
+
+    ``client_files`` adds the exports as clients get them, see ``sinks.write_client_files``. Of
+    inputs read from files, the run also tells what the sources of each request held.
+    """
     prepare(requests.spark)
     tables = run_tables(inputs, requests, suppressed, fill_blanks)
-    write_run(tables, requests, out_dir, run_id, csv)
+    write_run(tables, requests, out_dir, run_id, csv, client_files)

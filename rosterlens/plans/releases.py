@@ -69,11 +69,12 @@ def run_releases(
     suppressed: list[int] = counts.SUPPRESSED_NETWORKS,
     fill_blanks: bool = False,
     csv: bool = False,
+    client_files: bool = False,
     **options,
 ) -> Requests:
     """Evaluate the requests of all releases and write every output; the requests with what was rejected."""
     prepare(requests.spark)
     parts, requests = read_releases(requests, data_root, **options)
     tables = _united([run_tables(inputs, own, suppressed, fill_blanks) for own, inputs in parts])
-    write_run(tables, requests, out_dir, run_id, csv)
+    write_run(tables, requests, out_dir, run_id, csv, client_files)
     return requests

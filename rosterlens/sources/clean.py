@@ -7,8 +7,6 @@ networks and skips row groups of other counties.
 
 from __future__ import annotations
 
-from dataclasses import fields
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +15,7 @@ from rosterlens.sources.requests import Requests
 
 _PROVIDERS = ("individuals", "organizations")
 _SCORES = ("individual_scores", "organization_scores")
+_TABLES = (*_PROVIDERS, *_SCORES, "specialties", "hospital_names", "market")
 
 
 def _write_providers(rows: DataFrame, path: str) -> None:
@@ -33,15 +32,15 @@ def _write_providers(rows: DataFrame, path: str) -> None:
 
 
 def write_clean(inputs: Inputs, path: str) -> None:
-    for field in fields(inputs):
-        table = getattr(inputs, field.name)
-        if field.name in _PROVIDERS:
-            _write_providers(table, f"{path}/{field.name}")
-        elif field.name in _SCORES:
+    for name in _TABLES:
+        table = getattr(inputs, name)
+        if name in _PROVIDERS:
+            _write_providers(table, f"{path}/{name}")
+        elif name in _SCORES:
             by_county = table.repartitionByRange("fips", "npi").sortWithinPartitions("fips", "npi")
-            by_county.write.mode("overwrite").parquet(f"{path}/{field.name}")
+            by_county.write.mode("overwrite").parquet(f"{path}/{name}")
         else:
-            table.write.mode("overwrite").parquet(f"{path}/{field.name}")
+            table.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def read_clean(
@@ -71,4 +70,4 @@ def read_clean(
             rows = requests.in_counties(rows)
         return rows
 
-    return Inputs(**{field.name: table(field.name) for field in fields(Inputs)})
+    return Inputs(**{name: table(name) for name in _TABLES})

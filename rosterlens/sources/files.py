@@ -48,6 +48,9 @@ class Inputs:
     specialties: DataFrame
     hospital_names: DataFrame
     market: DataFrame
+    #: Provider rows as the files have them, where these are known; a run counts what they held.
+    raw_individuals: DataFrame | None = None
+    raw_organizations: DataFrame | None = None
 
 
 def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -330,13 +333,13 @@ def read_inputs(
             rows = requests.in_counties(rows)
         return rows if counties is None else rows.where(F.col("fips").isin(counties))
 
+    raw_individuals = scan_individuals(spark, root, networks)
+    raw_organizations = scan_organizations(spark, root, networks)
     return Inputs(
-        individuals=in_counties(
-            canonical.clean_individuals(scan_individuals(spark, root, networks))
-        ),
-        organizations=in_counties(
-            canonical.clean_organizations(scan_organizations(spark, root, networks))
-        ),
+        raw_individuals=raw_individuals,
+        raw_organizations=raw_organizations,
+        individuals=in_counties(canonical.clean_individuals(raw_individuals)),
+        organizations=in_counties(canonical.clean_organizations(raw_organizations)),
         individual_scores=in_counties(individual_scores(spark, root, individual_scores_csv)),
         organization_scores=in_counties(organization_scores(spark, root, organization_scores_csv)),
         specialties=specialties(spark, root),

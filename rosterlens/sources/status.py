@@ -32,15 +32,9 @@ def _rows_per_network(
     )
 
 
-def source_status(
-    requests: Requests, raw_individuals: DataFrame, raw_organizations: DataFrame
-) -> DataFrame:
-    """Row counts per source and requested raw network; ``missing`` if it has no rows.
-
-    Reportable rows pass the filters of their source; those of them with a null in a key
-    column are left out of every comparison and counted in ``n_without_key``.
-    """
-    held = _rows_per_network(
+def _held(raw_individuals: DataFrame, raw_organizations: DataFrame) -> DataFrame:
+    """Row counts per source and raw network."""
+    return _rows_per_network(
         raw_individuals, individual_is_reportable(), INDIVIDUAL_KEY, "individual"
     ).unionByName(
         _rows_per_network(
@@ -50,17 +44,39 @@ def source_status(
             "organization",
         )
     )
-    asked = (
-        requests.members.select("raw_network_id")
-        .distinct()
-        .select(
-            "raw_network_id",
-            F.explode(F.array(F.lit("individual"), F.lit("organization"))).alias("source"),
-        )
-    )
-    return asked.join(held, ["raw_network_id", "source"], "left").select(
+
+
+def _status(asked: DataFrame, held: DataFrame, *first: str) -> DataFrame:
+    sources = F.explode(F.array(F.lit("individual"), F.lit("organization"))).alias("source")
+    both = asked.select("*", sources)
+    return both.join(held, ["raw_network_id", "source"], "left").select(
+        *first,
         "source",
         "raw_network_id",
         *[F.coalesce(n, F.lit(0).cast("bigint")).alias(n) for n in _COUNTS],
         F.when(F.col("n_rows").isNull(), "missing").otherwise("read").alias("status"),
     )
+
+
+def source_status(
+    requests: Requests, raw_individuals: DataFrame, raw_organizations: DataFrame
+) -> DataFrame:
+    """Row counts per source and requested raw network; ``missing`` if it has no rows.
+
+    Reportable rows pass the filters of their source; those of them with a null in a key
+    column are left out of every comparison and counted in ``n_without_key``.
+    """
+    asked = requests.members.select("raw_network_id").distinct()
+    return _status(asked, _held(raw_individuals, raw_organizations))
+
+
+def request_source_status(
+    requests: Requests, raw_individuals: DataFrame, raw_organizations: DataFrame
+) -> DataFrame:
+    """``source_status`` of the raw networks of every request, as an output of a run.
+
+    The sources are grouped by network once, in the key columns only; requests meet the few
+    grouped rows.
+    """
+    asked = requests.members.select("req_id", "raw_network_id").distinct()
+    return _status(asked, _held(raw_individuals, raw_organizations), "req_id")
