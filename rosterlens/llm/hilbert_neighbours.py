@@ -102,18 +102,21 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1) / norms
 
 
-def nearest(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int):
-    """Of every query the k nearest rows: query number, row number, exact score."""
+def nearest(queries: np.ndarray, rows: np.ndarray, heads: np.ndarray, k: int):
+    """Of every query the k nearest rows: query number, row number, exact score.
+
+    Of equal scores the row with the smaller head comes first.
+    """
     close = (queries @ rows.T) / np.sqrt((rows * rows).sum(axis=1))
     close /= np.sqrt((queries * queries).sum(axis=1))[:, None]
-    if len(ids) > k:
+    if len(heads) > k:
         # All rows that could be among the k: the product differs from the score in last digits.
-        edge = np.partition(close, len(ids) - k, axis=1)[:, len(ids) - k] - 1e-9
+        edge = np.partition(close, len(heads) - k, axis=1)[:, len(heads) - k] - 1e-9
         q, r = np.nonzero(close >= edge[:, None])
     else:
         q, r = np.nonzero(np.ones(close.shape, bool))
     score = cosine(queries[q], rows[r])
-    order = np.lexsort((ids[r], -score, q))
+    order = np.lexsort((heads[r], -score, q))
     q, r, score = q[order], r[order], score[order]
     nth = np.arange(len(q)) - np.searchsorted(q, q)
     return q[nth < k], r[nth < k], score[nth < k]
@@ -157,7 +160,7 @@ def _ranked(classes: DataFrame, curves: Curves) -> DataFrame:
 
     spark = classes.sparkSession
     ordered = (
-        classes.mapInArrow(keys, "curve int, key long, cls long")
+        classes.select("cls", "v").mapInArrow(keys, "curve int, key long, cls long")
         .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "curve", "key", "cls")
         .sortWithinPartitions("curve", "key", "cls")
     )
@@ -189,7 +192,7 @@ def _window(classes: DataFrame, queries: DataFrame, ranked: DataFrame, k: int) -
         for batch in batches:
             rows, ids = matrix(batch.column(1)), np.array(batch.column(0))
             if len(ids):
-                q, r, score = nearest(asked, rows, ids, k + 1)
+                q, r, score = nearest(asked, rows, np.array(batch.column(2)), k + 1)
                 columns = [pa.array(own[q]), pa.array(ids[r]), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(columns, ["q", "cls", "score"])
 
@@ -213,10 +216,10 @@ def _candidates(classes: DataFrame, queries: DataFrame, ranked: DataFrame, windo
     reach = math.ceil(window / size)
     block = F.floor(F.col("place") / size).cast("long")
     placed = ranked.withColumn("block", block).join(classes, "cls")
-    rows = placed.select("curve", "block", "cls", "v", F.lit(False).alias("asks"))
+    rows = placed.select("curve", "block", "cls", "v", "head", F.lit(False).alias("asks"))
     near = F.explode(F.sequence(F.greatest(F.lit(0), block - reach), block + reach))
     asking = ranked.join(queries, "cls").select("curve", near.alias("block"), "cls").join(classes, "cls")
-    asking = asking.select("curve", "block", "cls", "v", F.lit(True).alias("asks"))
+    asking = asking.select("curve", "block", "cls", "v", "head", F.lit(True).alias("asks"))
 
     def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
@@ -225,13 +228,14 @@ def _candidates(classes: DataFrame, queries: DataFrame, ranked: DataFrame, windo
         if asks.all() or not asks.any():
             return
         vectors = matrix(table["v"].combine_chunks())
-        q, r, score = nearest(vectors[asks], vectors[~asks], ids[~asks], k + 1)
-        columns = [pa.array(ids[asks][q]), pa.array(ids[~asks][r]), pa.array(score)]
-        yield pa.RecordBatch.from_arrays(columns, ["q", "cls", "score"])
+        heads = table["head"].to_numpy()[~asks]
+        q, r, score = nearest(vectors[asks], vectors[~asks], heads, k + 1)
+        columns = [pa.array(ids[asks][q]), pa.array(ids[~asks][r]), pa.array(heads[r]), pa.array(score)]
+        yield pa.RecordBatch.from_arrays(columns, ["q", "cls", "head", "score"])
 
     both = rows.unionByName(asking).groupBy("curve", "block")
-    met = both.applyInArrow(meet, "q long, cls long, score double")
-    return met.groupBy("q", "cls").agg(F.max("score").alias("score"))
+    met = both.applyInArrow(meet, "q long, cls long, head long, score double")
+    return met.groupBy("q", "cls", "head").agg(F.max("score").alias("score"))
 
 
 def neighbours(
@@ -261,8 +265,9 @@ def neighbours(
     first = stored(first)
     heads = first.where("nth = 1").select("h1", "h2", F.col("vec_id").alias("head"), "v")
     # An id can stand for several vectors, so classes are numbered by a hash of id and vector.
-    classes = stored(heads.select(F.xxhash64("head", "h1", "h2").alias("cls"), "v", "h1", "h2"))
-    vectors = classes.select("cls", "v")
+    # Of equal scores the classes with the smallest heads hold the smallest ids.
+    classes = stored(heads.select(F.xxhash64("head", "h1", "h2").alias("cls"), "v", "head", "h1", "h2"))
+    vectors = classes.select("cls", "v", "head")
     named = classes.select("cls", "h1", "h2")
     members = first.join(named, ["h1", "h2"]).select("cls", "vec_id").distinct()
     asking = rows.where(F.col("vec_id") % every == 0).select("vec_id", "h1", "h2").distinct()
@@ -276,7 +281,7 @@ def neighbours(
     ranked = stored(_ranked(vectors, Curves(unit, curves)))
     window = _window(vectors, queries, ranked, k)
     found = _candidates(vectors, queries, ranked, window, k)
-    best = Window.partitionBy("q").orderBy(F.desc("score"), "cls")
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "head", "cls")
     near = found.withColumn("nth", F.row_number().over(best))
     # Classes with equal scores are kept together: which of their rows come first is seen below.
     edge = near.where(F.col("nth") == k + 1).select("q", F.col("score").alias("edge"))
