@@ -13,6 +13,7 @@ import gzip
 import hashlib
 import io
 import math
+import re
 import struct
 from collections.abc import Iterator
 from urllib.parse import urlsplit
@@ -27,7 +28,8 @@ from rosterlens.llm.common import prepare, shared_folder, stored
 RECORDS_PER_FILE = 2000
 RANGE_CAPTURES = 100_000
 SPLIT_SAMPLE = 20_000
-_EPOCH = 1_704_067_200  # 2024-01-01; a page's capture time is its number of seconds after it
+#: 2024-01-01; a page's capture time is its number of seconds after it, begun anew after _SPAN.
+_EPOCH, _SPAN = 1_704_067_200, 6_000_000_000
 _CRLF = "\r\n"
 
 
@@ -56,8 +58,20 @@ def _digest(payload: pa.Array) -> pa.Array:
 
 
 def _header_text(column):
-    """A header value on one line; characters that would end it are escaped."""
-    return F.regexp_replace(F.regexp_replace(column, "%(?=0[AD])", "%25"), "[\r\n]", "%0A")
+    """A header value on one line; characters that would end it are escaped.
+
+    So is the sign of the escapes where they could be read as one.
+    """
+    marked = F.regexp_replace(column, "%(?=(25)*0[AD])", "%25")
+    return F.replace(F.replace(marked, F.lit("\n"), F.lit("%0A")), F.lit("\r"), F.lit("%0D"))
+
+
+_ESCAPES = re.compile("%25(?=(?:25)*0[AD])|%0A|%0D")
+
+
+def _header_value(text: str) -> str:
+    """The value of an escaped header."""
+    return _ESCAPES.sub(lambda m: {"%0A": "\n", "%0D": "\r"}.get(m[0], "%"), text)
 
 
 def _identity(column):
@@ -91,8 +105,11 @@ def record(page_id, url, html, payload_bytes, digest, refers_to):
     """One WARC record as text, without the last line break, which the writer adds."""
     revisit = refers_to.isNotNull()
     block = F.when(revisit, F.lit("")).otherwise(html)
-    seconds = F.coalesce(page_id.cast("long"), F.lit(0)) + _EPOCH
-    date = F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    seconds = F.pmod(F.coalesce(page_id.cast("long"), F.lit(0)), F.lit(_SPAN)) + _EPOCH
+    # A timestamp without a zone, so that the zone of the session has no part in it.
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    moment = start + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    date = F.concat(F.replace(moment.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
     kind = F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))
     refers = F.when(
         revisit,
@@ -175,7 +192,7 @@ def _captures(content: bytes) -> list[tuple]:
             captured = int(pd.Timestamp(headers["warc-date"]).timestamp())
             refers = headers.get("warc-refers-to")
             page = _page(headers["warc-record-id"])
-            key = url_key(headers["warc-target-uri"])
+            key = url_key(_header_value(headers["warc-target-uri"]))
             found.append(
                 (key, captured, page, size, digest, kind, _page(refers) if refers else None)
             )
