@@ -9,11 +9,12 @@ shuffle, so a group of any size stays a few rows per task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -24,6 +25,8 @@ COMPARED_CHARACTERS = 1 << 15
 #: Two primes below 2**31 and a base for each.
 MODULI = ((2147483647, 1103515245), (2147483629, 1540483477))
 _EXPLODED = 10_000
+#: Bits of the table that tells which keys need a look; what is sent of it has at most this size.
+KEY_BITS = 1 << 25
 
 
 def _base_powers(base: int, prime: int, n: int) -> np.ndarray:
@@ -126,10 +129,40 @@ def _fingerprints(texts: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def _slot(*columns: str | Column) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(KEY_BITS)).cast("int")
+
+
+def _marked(keys: DataFrame, *columns: str) -> Callable[..., Column]:
+    """A condition that holds for all rows with one of the keys, and for few others.
+
+    It needs no exchange of the rows: the keys are marked in a table of KEY_BITS bits, which is
+    combined in the tasks and sent to all of them. The more keys there are, the more other rows it
+    lets through.
+    """
+    spark = keys.sparkSession
+    bits = np.zeros(KEY_BITS // 64, np.uint64)
+    bit = F.expr("shiftleft(1L, slot % 64)")
+    words = keys.select(_slot(*columns).alias("slot")).groupBy(F.expr("slot div 64").alias("word"))
+    words = words.agg(F.bit_or(bit).alias("bits")).toPandas()
+    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    sent, table = spark.sparkContext.broadcast(zlib.compress(bits.tobytes(), 1)), []
+
+    @F.arrow_udf("boolean")
+    def holds(slots: pa.Array) -> pa.Array:
+        if not table:
+            table.append(np.frombuffer(zlib.decompress(sent.value), np.uint64))
+        slot = slots.to_numpy()
+        return pa.array(table[0][slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1) == 1)
+
+    return lambda *found: holds(_slot(*found))
+
+
 def _unequal(texts: DataFrame, shared: DataFrame) -> DataFrame:
     """Fingerprints whose documents differ in some chunk."""
     same = ["fingerprint", "n_bytes"]
-    copies = _fingerprints(texts, "text").join(shared, same, "left_semi")
+    alike = _marked(shared, *same)
+    copies = _fingerprints(texts, "text").where(alike(*same)).join(shared, same, "left_semi")
     size = F.lit(COMPARED_CHARACTERS)
     chunk = F.explode(F.sequence(F.lit(0), F.floor(F.char_length("text") / size).cast("int")))
     chunks = copies.select(*same, "text", chunk.alias("chunk")).select(
@@ -187,16 +220,29 @@ def duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without the copies that ``duplicates`` drops, all columns as they were.
 
-    Of repeated rows that differ in other columns only, the smallest row stays.
+    Of repeated rows that differ in other columns only, the smallest row stays. A null text is
+    equal to an empty one; of equal texts a null ``doc_id`` stays only where there is no other. An
+    empty table gives no rows; columns of any name are kept. Rows that stay and are alone with
+    their id and text are not exchanged; only the others are, each once. A text is hashed by one
+    task, which holds it once.
     """
     prepare(docs.sparkSession)
-    kept = duplicates(docs).where("kept").select("doc_id", "text_sha256")
+    key = ["doc_id", "text_sha256"]
+    decided = duplicates(docs).groupBy(*key).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    decided = stored(decided.where("n > 1 or not kept"))
+    doubtful = _marked(decided, *key)
     rows = docs.select(
         F.struct("*").alias("row"),
         F.col("doc_id").alias("row_id"),
         F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("digest"),
+    ).withColumn("doubtful", doubtful("row_id", "digest"))
+    found = rows.where("doubtful").join(
+        decided, F.col("row_id").eqNullSafe(F.col("doc_id")) & (F.col("digest") == F.col("text_sha256")), "left"
     )
-    stay = F.col("row_id").eqNullSafe(F.col("doc_id")) & (F.col("digest") == F.col("text_sha256"))
-    rows = rows.join(kept, stay, "left_semi")
+    # Marked by chance only, or one of the rows of a kept id and text.
+    found = found.where(F.col("n").isNull() | F.col("kept"))
+    repeated = found.where("n is not null")
     order = Window.partitionBy("row_id", "digest").orderBy(F.to_json("row"))
-    return rows.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("row.*")
+    repeated = repeated.withColumn("nth", F.row_number().over(order)).where("nth = 1")
+    alone = rows.where("not doubtful").select("row").unionByName(found.where("n is null").select("row"))
+    return alone.unionByName(repeated.select("row")).select("row.*")
