@@ -4,6 +4,11 @@ Each request belongs to a client profile, and a profile shows some columns and n
 Columns a profile does not show are null in its rows, so that one pass can remove
 duplicates for requests of every profile; ``export_view`` then picks the columns of one
 pairing and names its flag columns after the two plans.
+
+Duplicates go before rows are repeated for pairings: the wide rows are grouped once per profile,
+of which there are four at most, with the networks that list them. A row then meets each of its
+pairings once, at the smallest of its networks there, and the flags follow from what it carries,
+so nothing is exchanged or grouped after the pairings.
 """
 
 from __future__ import annotations
@@ -115,7 +120,7 @@ _INDIVIDUAL_SHOWN = {
 
 
 # What the pairings of a row follow from; formatting of the row happens before.
-PLACE = ["raw_network_id", "fips", "places", "networks", "one_county"]
+PLACE = ["raw_network_id", "fips", "places", "networks", "origin"]
 
 
 def organization_columns(client_id: int) -> list[str]:
@@ -131,94 +136,184 @@ def _columns(columns: list[str], shown: dict[str, list[int]], client_id: int) ->
 
 
 def _mask(columns: list[str], shown: dict[str, list[int]]) -> list[Column]:
-    """The columns, null in rows of clients that are not shown them."""
+    """The columns, null in rows of profiles that are not shown them."""
     return [
-        F.when(F.col("client_id").isin(shown[c]), F.col(f"`{c}`")).alias(c)
+        F.when(F.col("profile").isin(shown[c]), F.col(f"`{c}`")).alias(c)
         if c in shown
         else F.col(f"`{c}`")
         for c in columns
     ]
 
 
-def _one_per_row(rows: DataFrame, columns: list[str], shown: dict[str, list[int]]) -> DataFrame:
-    """Rows without duplicates in the columns their client is shown."""
-    row = ["req_id", "pair_idx", "client_id", *columns]
-    return (
-        rows.select(
-            "req_id", "pair_idx", "client_id", *_mask(columns, shown), _is_scored().alias(IS_SCORED)
-        )
-        .groupBy(*[F.col(f"`{c}`") for c in row])
-        .agg(F.bool_or(IS_SCORED).alias(IS_SCORED))
-    )
+def _profile(client_id: Column) -> Column:
+    return F.when(client_id.isin(CLIENTS), client_id).otherwise(F.lit(DEFAULT)).cast("int")
 
 
-def _is_scored() -> Column:
-    return (F.col("Quality Score") != MISSING) | (F.col("Cost Score") != MISSING)
+def _to_profiles(rows: DataFrame, requests: Requests) -> DataFrame:
+    """Rows repeated for the profiles that ask for their network.
 
+    Where the request tables are too large to be sent, rows go to all requested profiles instead
+    of being exchanged by their network; those that are in no pairing there go with the pairings.
+    """
+    clients = requests.accepted.select("req_id", _profile(F.col("client_id")).alias("profile"))
+    if requests.are_small:
+        networks = requests.sides.join(requests.small(clients), "req_id")
+        return rows.join(
+            requests.small(networks.select("raw_network_id", "profile").distinct()), "raw_network_id"
+        )
+    # At most one per column set.
+    profiles = sorted(row["profile"] for row in clients.select("profile").distinct().collect())
+    return rows.withColumn("profile", F.explode(F.array(*[F.lit(p) for p in profiles]).cast("array<int>")))
 
-def _scored_places(
-    rows: DataFrame, key: list[str], scores: DataFrame, score_on: list[str]
+
+def _listed_rows(
+    rows: DataFrame, columns: list[str], shown: dict[str, list[int]], requests: Requests
 ) -> DataFrame:
-    """One narrow row per provider key, county and score key, with places and scores.
+    """One row per profile and shown columns, with its ``fips`` and ``listed``.
 
-    Providers are reduced to keys before any join, so that neither the places nor the
-    scores are joined to wide rows, and a provider with very many rows is one key here. Its
-    set of places holds at most one entry per requested network, county and score key.
+    ``listed`` has an entry for every provider key behind the row, mostly one: the networks that
+    list the key, its places if it is in several counties, and the networks that list the row
+    itself and whether with a score. All of it is made of the distinct requested networks and
+    counties, so an entry does not grow with the rows of a provider, and partial aggregation
+    collapses them before the shuffle.
     """
-    rest = [c for c in score_on if c not in (*key, "fips")]
-    place = F.struct("raw_network_id", F.col("fips").alias("place_fips"), *rest)
-    listed = rows.groupBy(*key).agg(F.sort_array(F.collect_set(place)).alias("places"))
-    details = F.transform(
-        "places",
-        lambda p: F.struct(p["place_fips"].alias("fips"), *[p[c].alias(c) for c in rest]),
-    )
-    narrow = listed.select(
-        *key,
-        "places",
-        F.array_distinct("places.raw_network_id").alias("networks"),
-        (F.size(F.array_distinct("places.place_fips")) == 1).alias("one_county"),
-        F.inline(F.array_distinct(details)),
+    shown_to = _to_profiles(rows, requests)
+    listing = F.struct("origin", "raw_network_id", _is_scored().alias(IS_SCORED))
+    grouped = (
+        shown_to.select("profile", *PLACE, *_mask(columns, shown), listing.alias("listing"))
+        .groupBy("profile", "fips", *[F.col(f"`{c}`") for c in columns])
+        .agg(
+            F.collect_set("listing").alias("listings"),
+            F.collect_set(F.struct("origin", "networks", "places")).alias("origins"),
+        )
     )
-    return left_join_one(narrow, scores, score_on)
+
+    def entry(origin: Column) -> Column:
+        own = F.filter("listings", lambda x: x["origin"] == origin["origin"])
+        return F.struct(
+            origin["networks"].alias("networks"),
+            origin["places"].alias("places"),
+            F.transform(own, lambda x: x["raw_network_id"]).alias("by"),
+            F.transform(F.filter(own, lambda x: x[IS_SCORED]), lambda x: x["raw_network_id"]).alias("scored_by"),
+        )
+
+    return grouped.withColumn("listed", F.transform("origins", entry)).drop("listings", "origins")
 
 
 def _with_pairs(rows: DataFrame, requests: Requests) -> DataFrame:
-    """Rows repeated for the pairings that contain their network and county.
+    """Every row once for each pairing that contains it and each pair of flags it has there.
 
     The flags ask whether any listing of the provider in a requested county belongs to the
     base or compare network. Only a county name with several county codes needs the list of
-    requested counties; otherwise all listings are in the county of the row.
+    requested counties; otherwise all listings are in the county of the row. Provider keys that
+    are shown alike give one row if their flags agree.
     """
     sides = requests.sides.select("req_id", "pair_idx", "raw_network_id")
     pairs = requests.pairs.select(
         "req_id",
         "pair_idx",
         "client_id",
+        _profile(F.col("client_id")).alias("profile"),
         "base_raw",
         "compare_raw",
+        F.array_union("base_raw", "compare_raw").alias("pair_raw"),
         F.col("counties").alias("pair_counties"),
     )
 
-    def listed_in(side: str) -> Column:
+    def listed_in(entry: Column, side: str) -> Column:
         in_several_counties = F.exists(
-            "places",
+            entry["places"],
             lambda place: F.array_contains(side, place["raw_network_id"])
             & F.array_contains("pair_counties", place["place_fips"]),
         )
-        return F.when(F.col("one_county"), F.arrays_overlap("networks", side)).otherwise(
-            in_several_counties
+        return yes_no(
+            F.when(entry["places"].isNull(), F.arrays_overlap(entry["networks"], side)).otherwise(
+                in_several_counties
+            )
         )
 
+    def flags(entry: Column) -> Column:
+        return F.struct(
+            listed_in(entry, "base_raw").alias(IN_BASE),
+            listed_in(entry, "compare_raw").alias(IN_COMPARE),
+            F.arrays_overlap(entry["scored_by"], "pair_raw").alias(IS_SCORED),
+        )
+
+    here = F.filter("listed", lambda entry: F.arrays_overlap(entry["by"], "pair_raw"))
+    met = F.transform(here, flags)
+    distinct = F.array_distinct(F.transform("met", lambda x: F.struct(x[IN_BASE], x[IN_COMPARE])))
+    merged = F.transform(
+        distinct,
+        lambda x: F.struct(
+            x[IN_BASE].alias(IN_BASE),
+            x[IN_COMPARE].alias(IN_COMPARE),
+            F.exists(
+                "met",
+                lambda y: (y[IN_BASE] == x[IN_BASE]) & (y[IN_COMPARE] == x[IN_COMPARE]) & y[IS_SCORED],
+            ).alias(IS_SCORED),
+        ),
+    )
+    own = [F.col(f"`{c}`") for c in rows.columns if c not in ("profile", "fips", "listed")]
+    raw_networks = F.array_distinct(F.flatten("listed.by"))
     return (
-        rows.join(requests.small(sides), "raw_network_id")
+        rows.withColumn("row_raw", raw_networks)
+        .withColumn("raw_network_id", F.explode("row_raw"))
+        .join(requests.small(sides), "raw_network_id")
         .join(requests.small(requests.counties), ["req_id", "fips"])
-        .join(requests.small(pairs), ["req_id", "pair_idx"])
-        .withColumn(IN_BASE, yes_no(listed_in("base_raw")))
-        .withColumn(IN_COMPARE, yes_no(listed_in("compare_raw")))
-        .drop(*PLACE, "base_raw", "compare_raw", "pair_counties")
+        .join(requests.small(pairs), ["req_id", "pair_idx", "profile"])
+        .where(F.col("raw_network_id") == F.array_min(F.array_intersect("row_raw", "pair_raw")))
+        .withColumn("met", met)
+        .select("req_id", "pair_idx", "client_id", *own, F.inline(merged))
     )
 
 
+def _one_per_row(
+    rows: DataFrame, columns: list[str], shown: dict[str, list[int]], requests: Requests
+) -> DataFrame:
+    """Rows of every pairing without duplicates in the columns their client is shown."""
+    own = [c for c in columns if c not in FLAGS]
+    paired = _with_pairs(_listed_rows(rows, own, shown, requests), requests)
+    return paired.select("req_id", "pair_idx", "client_id", *[F.col(f"`{c}`") for c in columns], IS_SCORED)
+
+
+def _is_scored() -> Column:
+    return (F.col("Quality Score") != MISSING) | (F.col("Cost Score") != MISSING)
+
+
+def _scored_places(
+    rows: DataFrame, key: list[str], scores: DataFrame, score_on: list[str]
+) -> DataFrame:
+    """One narrow row per provider key, county and score key, with networks and scores.
+
+    ``places`` are kept where a key is in several counties only; elsewhere networks tell all.
+
+    Providers are reduced to keys before any join, so that neither the places nor the
+    scores are joined to wide rows, and a provider with very many rows is one key here. Its
+    set of places holds at most one entry per requested network, county and score key.
+    """
+    rest = [c for c in score_on if c not in (*key, "fips")]
+    place = F.struct("raw_network_id", F.col("fips").alias("place_fips"), *rest)
+    listed = rows.groupBy(*key).agg(F.sort_array(F.collect_set(place)).alias("places"))
+    details = F.transform(
+        "places",
+        lambda p: F.struct(p["place_fips"].alias("fips"), *[p[c].alias(c) for c in rest]),
+    )
+    listed_at = F.transform("places", lambda p: F.struct(p["raw_network_id"], p["place_fips"]))
+    in_several_counties = F.size(F.array_distinct("places.place_fips")) > 1
+    narrow = (
+        listed.select(
+            *key,
+            F.array_distinct("places.raw_network_id").alias("networks"),
+            F.when(in_several_counties, F.array_distinct(listed_at)).alias("places"),
+            F.array_distinct(details).alias("details"),
+        )
+        # Tells the keys apart that rows alike in all shown columns come from.
+        .withColumn("origin", F.md5(F.to_json(F.struct("networks", "places"))))
+        .select(*key, "networks", "places", "origin", F.inline("details"))
+    )
+    return left_join_one(narrow, scores, score_on)
+
+
 def _attach(rows: DataFrame, narrow: DataFrame, key: list[str]) -> DataFrame:
     """Join wide rows to their narrow row; county name and score key may be null.
 
@@ -265,7 +360,7 @@ _HOSPITAL_COLUMNS = [
 def hospital_rows(
     organizations: DataFrame, scores: DataFrame, names: DataFrame, requests: Requests
 ) -> DataFrame:
-    """Formatted hospital rows of every pairing, before columns are chosen."""
+    """Formatted hospital rows of the requested networks, before columns and pairings."""
     # The membership key has the provider type, so other types do not matter here.
     hospitals = requests.restrict(organizations.where(F.col("provider_type") == HOSPITAL))
     key = ORGANIZATION_COUNTY_NAME_KEY
@@ -291,16 +386,16 @@ def hospital_rows(
         score_text(F.col("ma_util")).alias("MA Utilization Score"),
         F.lit(MISSING).alias("NPI Score Confidence"),
     )
-    return _with_pairs(shown, requests)
+    return shown
 
 
-def organization_export(hospitals: DataFrame) -> DataFrame:
+def organization_export(hospitals: DataFrame, requests: Requests) -> DataFrame:
     """Hospitals of every pairing, from ``hospital_rows``, in the columns of their clients."""
-    return _one_per_row(hospitals, ORGANIZATION_COLUMNS, _ORGANIZATION_SHOWN)
+    return _one_per_row(hospitals, ORGANIZATION_COLUMNS, _ORGANIZATION_SHOWN, requests)
 
 
 def individual_rows(individuals: DataFrame, scores: DataFrame, requests: Requests) -> DataFrame:
-    """Formatted individual rows of every pairing, before columns are chosen."""
+    """Formatted individual rows of the requested networks, before columns and pairings."""
     rows = with_score_key(requests.restrict(individuals))
     key = COUNTY_NAME_KEY
     narrow = _scored_places(rows, key, scores, INDIVIDUAL_SCORE_KEY)
@@ -334,7 +429,7 @@ def individual_rows(individuals: DataFrame, scores: DataFrame, requests: Request
         score_text(F.col("ma_util")).alias("MA Utilization Score"),
         confidence_label(F.col("colour")).alias("NPI Score Confidence"),
     )
-    return _with_pairs(shown, requests)
+    return shown
 
 
 def hospitals_as_individuals(hospitals: DataFrame) -> DataFrame:
@@ -359,7 +454,7 @@ def individual_export(
     rows = individual_rows(individuals, scores, requests).unionByName(
         hospitals_as_individuals(hospitals)
     )
-    return _one_per_row(rows, INDIVIDUAL_COLUMNS, _INDIVIDUAL_SHOWN)
+    return _one_per_row(rows, INDIVIDUAL_COLUMNS, _INDIVIDUAL_SHOWN, requests)
 
 
 def order_columns(export: DataFrame) -> list[Column]:

@@ -78,7 +78,7 @@ def export_tables(
 ) -> dict[str, DataFrame]:
     """The two row-level exports, with the columns of all clients."""
     return {
-        "organization_export": exports.organization_export(hospitals),
+        "organization_export": exports.organization_export(hospitals, requests),
         "individual_export": exports.individual_export(
             inputs.individuals, inputs.individual_scores, hospitals, requests
         ),

@@ -322,7 +322,7 @@ def _hospital_rows(spark, sf_dir):
 
 
 def organization_export(spark, sf_dir):
-    return exports.organization_export(_hospital_rows(spark, sf_dir))
+    return exports.organization_export(_hospital_rows(spark, sf_dir), _request_tables(spark, sf_dir))
 
 
 def individual_export(spark, sf_dir):

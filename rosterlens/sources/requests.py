@@ -276,6 +276,11 @@ class Requests:
         ).first()
         return max(total["networks"] or 0, total["counties"] or 0)
 
+    @property
+    def are_small(self) -> bool:
+        """Whether all request tables are small enough to be sent to every task."""
+        return self.rows <= self._limit
+
     def small(self, table: DataFrame) -> DataFrame:
         """Hint a broadcast of a request table if all request tables are small."""
         return small_side(table, self.rows, self._limit)

@@ -134,7 +134,7 @@ def test_organization_export_keeps_the_address_for_every_client(spark, requests)
         build.hospital_names(spark),
         requests,
     )
-    export = exports.organization_export(hospitals)
+    export = exports.organization_export(hospitals, requests)
     rows = {r["req_id"]: r.asDict() for r in export.collect()}
     assert {r["Address First Line"] for r in rows.values()} == {"1 Hospital Ave"}
     assert rows["R45"]["MA Utilization Score"] == "55.0"
@@ -149,7 +149,7 @@ def test_view_names_its_flags_after_the_plans(spark, requests):
         build.hospital_names(spark),
         requests,
     )
-    export = exports.organization_export(hospitals)
+    export = exports.organization_export(hospitals, requests)
     columns = exports.organization_columns(8)
     named = exports.export_view(export, columns, "Org A HMO", "Org B HMO").columns
     assert "Org A HMO" in named and "Org B HMO" in named

@@ -115,7 +115,8 @@ def test_hot_provider_is_split_in_the_export_join(spark, tmp_path):
     scores = build.individual_scores(spark, dict(npi=7, quality="4"))
     with settings(spark, **SMALL_PARTITIONS):
         rows = exports.individual_rows(people, scores, requests)
-        total = rows.groupBy("Quality Score").agg(F.count("*").alias("n"))
+        # The addresses keep the rows apart, or they would compress to almost nothing.
+        total = rows.groupBy("Quality Score").agg(F.count("*").alias("n"), F.max("Address First Line"))
         found = {r["Quality Score"]: r["n"] for r in total.collect()}
         assert "skew=true" in plan(total)
     hot = len(range(0, 40_000, 3))
@@ -123,6 +124,32 @@ def test_hot_provider_is_split_in_the_export_join(spark, tmp_path):
     assert sum(found.values()) == 40_000
 
 
+def test_exports_collapse_rows_before_pairings(spark, tmp_path):
+    """Addresses a client is not shown are gone before the shuffle; nothing follows the pairings."""
+    prepare(spark)
+    hot_people(spark).repartition(16).write.parquet(str(tmp_path / "people"))
+    people = spark.read.parquet(str(tmp_path / "people"))
+    scores = build.individual_scores(spark, dict(npi=7, quality="4"))
+    none = build.organizations(spark), build.organization_scores(spark), build.hospital_names(spark)
+    found = {}
+    for limit in (1_000_000, 0):
+        requests = build.requests(
+            spark, build.request("A", client="8"), build.request("B", client="1"), broadcast_rows=limit
+        )
+        hospitals = exports.hospital_rows(*none, requests)
+        export = exports.individual_export(people, scores, hospitals, requests)
+        text = plan(export)
+        # The plan is printed from its end: all grouping of rows lies below the pairings.
+        assert "Join" in text[: text.index("Aggregate")]
+        assert "partial_collect_set" in text
+        found[limit] = sorted(map(tuple, export.collect()), key=str)
+    assert found[1_000_000] == found[0]
+    rows = [r for r in found[0] if r[0] == "A"]
+    hidden = [r for r in found[0] if r[0] == "B"]
+    assert len(rows) == 40_000
+    assert len(hidden) == people.select("npi").distinct().count()
+
+
 def test_hot_key_is_split_in_the_score_join(spark, tmp_path):
     prepare(spark)
     hot_people(spark).repartition(16).write.parquet(str(tmp_path / "people"))
