@@ -14,12 +14,18 @@ depends on the sets of these and on their sizes: rows that agree in both are one
 are compared with a leader first, then where they are not in one component yet. The same holds for
 candidates of the product: each row is compared with its smallest partner, then with those outside
 its component.
+
+Before two sets are compared, their signatures are: 1024 bits, of which every shingle sets one. A
+bit that one set has and the other lacks is a shingle they do not share, so the bits bound the
+overlap from above and no link is lost. Whole sets are sent only for the pairs that are left.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +46,8 @@ ENTRY_SLICE = 1 << 20
 FREQUENT = 1 << 17
 FREQUENT_LEAST = 24
 _COUNTED = 1 << 22
+#: 64-bit words of a signature.
+SIGNATURE = 16
 _PAIRS = 1 << 20
 _ENTRY = np.dtype([("h", "<u8"), ("cls", "<i8"), ("n", "<i4"), ("m", "<i4")])
 _CARRIERS = 64
@@ -76,8 +84,16 @@ def set_keys(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(size > 0, keys, 0).astype(np.int64)
 
 
+def signatures(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The signature of every set, sets by words."""
+    rows = len(bounds) - 1
+    bits = np.zeros((rows, 64 * SIGNATURE), bool)
+    bits[np.repeat(np.arange(rows), np.diff(bounds)), (mix(found) % np.uint64(64 * SIGNATURE)).astype(np.int64)] = True
+    return np.packbits(bits, axis=1).view("<i8")
+
+
 def _summaries(texts: DataFrame) -> DataFrame:
-    """Per row its set's size and key; and per stretch of rows how many sets have a shingle."""
+    """Per row its set's size, key and signature; and per stretch of rows how many sets have a shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -88,7 +104,7 @@ def _summaries(texts: DataFrame) -> DataFrame:
             often = n > 1
             held.clear()
             seen.clear()
-            return _summary(None, None, None, value[often].astype(np.int64), n[often])
+            return _summary(None, None, None, None, value[often].astype(np.int64), n[often])
 
         kind = None
         for batch in batches:
@@ -101,7 +117,7 @@ def _summaries(texts: DataFrame) -> DataFrame:
                         seen.add(key)
                         held.append(found[bounds[i] : bounds[i + 1]])
                 ids = [batch.column(k)[low:high] for k in (0, 1)]
-                yield _summary(ids, np.diff(bounds), keys, None, None)
+                yield _summary(ids, np.diff(bounds), keys, signatures(found, bounds), None, None)
                 if sum(map(len, held)) >= _COUNTED:
                     yield _typed(counted(), kind)
         if kind is not None:
@@ -109,18 +125,25 @@ def _summaries(texts: DataFrame) -> DataFrame:
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     rows = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, n int, cls long, h long, sets int")
+    return rows.mapInArrow(
+        run, f"doc_id {kind}, text_hash long, n int, cls long, bits array<long>, h long, sets int"
+    )
 
 
-def _summary(ids, n, cls, h, sets) -> pa.RecordBatch:
+def _summary(ids, n, cls, bits, h, sets) -> pa.RecordBatch:
     length = len(h) if ids is None else len(ids[0])
 
     def column(values, kind):
         return pa.nulls(length, kind) if values is None else pa.array(values, kind)
 
     ids = ids or [pa.nulls(length), pa.nulls(length, pa.int64())]
-    rest = [column(n, pa.int32()), column(cls, pa.int64()), column(h, pa.int64()), column(sets, pa.int32())]
-    names = ["doc_id", "text_hash", "n", "cls", "h", "sets"]
+    if bits is not None:
+        bits = list(bits)
+    rest = [
+        column(n, pa.int32()), column(cls, pa.int64()), column(bits, pa.list_(pa.int64())),
+        column(h, pa.int64()), column(sets, pa.int32()),
+    ]
+    names = ["doc_id", "text_hash", "n", "cls", "bits", "h", "sets"]
     return pa.RecordBatch.from_arrays([*ids, *rest], names)
 
 
@@ -336,8 +359,10 @@ def _sets_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
                     ["cls", "hashes"],
                 )
 
-    texts = whole_texts(docs, F.col("doc_id").alias("rep")).join(needed, F.col("rep").eqNullSafe(F.col("doc_id")))
-    # A repeated doc_id can have several texts, of which the right ones are left, equal to each other.
+    texts = whole_texts(docs, F.col("doc_id").alias("rep")).withColumn("rep_hash", F.xxhash64("text"))
+    same = F.col("rep").eqNullSafe(F.col("doc_id")) & (F.col("rep_hash") == F.col("text_hash"))
+    texts = texts.join(needed, same)
+    # What is left of a repeated doc_id are rows with the same text.
     return texts.select("cls", "text").mapInArrow(run, "cls long, hashes binary").dropDuplicates(["cls"])
 
 
@@ -364,6 +389,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, frequent: np.ndarray) -> DataFr
     return found.where("how > 0").select("a", "b", (F.col("how") == 2).alias("frequent"))
 
 
+def _near(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose signatures allow them to be similar."""
+
+    def lacks(x: str, y: str):
+        words = (F.get(x, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(y, F.lit(i)))) for i in range(SIGNATURE))
+        return reduce(add, map(F.bit_count, words))
+
+    first, second = (
+        signed.select(F.col("cls").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}"))
+        for k in ("a", "b")
+    )
+    most = F.least(F.col("n_a") - lacks("bits_a", "bits_b"), F.col("n_b") - lacks("bits_b", "bits_a"))
+    reach = (100 + PERCENT) * most >= PERCENT * (F.col("n_a") + F.col("n_b"))
+    return pairs.select("a", "b").join(first, "a").join(second, "b").where(reach).select("a", "b")
+
+
 def _fits(x: str, y: str):
     """Whether sets of these sizes can be similar."""
     small, large = F.least(x, y), F.greatest(x, y)
@@ -449,7 +490,8 @@ def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = whole_texts(docs, "doc_id")
     summaries = stored(_summaries(texts))
     rows = summaries.where("n IS NOT NULL").select("doc_id", "text_hash", "n", "cls")
-    classes = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    classes = rows.where("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    classes = classes.select("cls", "one.*")
     links = _links(texts, summaries, classes)
     roots = stored(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     placed = classes.select("cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
@@ -528,18 +570,27 @@ def _links(texts: DataFrame, summaries: DataFrame, classes: DataFrame) -> DataFr
     entries = stored(
         _spread(groups).unionByName(long.select("h", F.col("cls").alias("kind"), "cls", "n", F.col("n").alias("rest")))
     )
-    counted = stored(_counted_pairs(product, noisy))
-    # Whole sets of all that may be compared, whatever the round.
-    ends = counted.select(F.col("a").alias("cls")).union(counted.select("b")).union(entries.select("cls"))
-    sets = stored(_sets_of(texts, ends.distinct().join(classes, "cls").select("cls", "doc_id")))
+    signed = stored(summaries.where("n > 0").select("cls", "n", "bits").dropDuplicates(["cls"]))
+
+    def sets_for(pairs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+        if known is not None:
+            ends = ends.join(known.select("cls"), "cls", "left_anti")
+        return stored(_sets_of(texts, ends.join(classes, "cls")))
+
+    counted = stored(_near(_counted_pairs(product, noisy), signed))
     partner = counted.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    tried = stored(partner.unionByName(_leader_pairs(entries)).distinct())
+    tried = stored(partner.unionByName(_near(_leader_pairs(entries), signed)).distinct())
+    sets = sets_for(tried)
     links = stored(_widened(_verified(tried, sets, frequent), members).unionByName(alike))
     roots = stored(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     more = stored(
-        _outside(counted, roots).unionByName(_across(entries, _settled(roots, members)))
+        _outside(counted, roots).unionByName(_near(_across(entries, _settled(roots, members)), signed))
         .distinct().join(tried, ["a", "b"], "left_anti")
     )
+    if more.isEmpty():
+        return links
+    sets = sets.unionByName(sets_for(more, sets))
     return links.unionByName(stored(_widened(_verified(more, sets, frequent), members)))
 
 

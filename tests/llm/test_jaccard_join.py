@@ -89,3 +89,17 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert jaccard_join.near_duplicates(docs).collect() == []
     assert jaccard_join.keep_one(docs).collect() == []
+
+
+def test_signatures_bound_the_overlap_from_above():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    pool = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, n)) for n in (1, 5, 60, 60, 400, 2500)] + [np.zeros(0, np.uint64)]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    bits = jaccard_join.signatures(np.concatenate(sets), bounds).view(np.uint64)
+    assert bits.shape == (len(sets), jaccard_join.SIGNATURE)
+    for (i, a), (j, b) in itertools.product(enumerate(sets), repeat=2):
+        lacking = sum(int(x).bit_count() for x in bits[i] & ~bits[j])
+        assert len(np.intersect1d(a, b)) <= len(a) - lacking
