@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from rosterlens.llm.common import mix, prepare, shingles, stored, text_bytes, text_slices, whole_texts
 from rosterlens.llm.components import components
+from rosterlens.llm.exact_dedup import _marked as marked
 
 WORDS = 5
 #: Similar: 100 * intersection >= PERCENT * union.
@@ -359,7 +360,10 @@ def _sets_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
                     ["cls", "hashes"],
                 )
 
+    wanted = marked(needed, "doc_id", "text_hash")
     texts = whole_texts(docs, F.col("doc_id").alias("rep")).withColumn("rep_hash", F.xxhash64("text"))
+    # Texts that are not asked for stay where they are.
+    texts = texts.where(wanted("rep", "rep_hash"))
     same = F.col("rep").eqNullSafe(F.col("doc_id")) & (F.col("rep_hash") == F.col("text_hash"))
     texts = texts.join(needed, same)
     # What is left of a repeated doc_id are rows with the same text.
@@ -440,6 +444,12 @@ def _may(n_a: str, n_b: str, rest_a: str, rest_b: str):
     return _fits(n_a, n_b) & ((100 + PERCENT) * shared >= PERCENT * (F.col(n_a) + F.col(n_b)))
 
 
+def _reach():
+    """Whether sizes from ``low`` to ``high`` on both sides allow similar sets that share at most ``most``."""
+    fits = (F.col("high") * 100 >= F.col("low_b") * PERCENT) & (F.col("high_b") * 100 >= F.col("low") * PERCENT)
+    return fits & ((100 + PERCENT) * F.least("most", "most_b") >= PERCENT * (F.col("low") + F.col("low_b")))
+
+
 def _leader_pairs(entries: DataFrame) -> DataFrame:
     """Every row of a column with the column's leader of its size and of the next size up."""
     sized = entries.withColumn("bucket", _bucket(F.col("n")))
@@ -456,10 +466,15 @@ def _across(entries: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of rows that share a column and are not in one component yet.
 
     Rows with the same columns meet as one: first the sets of columns are paired, then the
-    components below them, then their rows.
+    components below them, then their rows. At the first column that two kinds share, what they can
+    share is no more than either has from there on; kinds for which that is too little at a column
+    do not meet there.
     """
-    kinds = entries.select("h", "kind").distinct()
-    met = kinds.join(kinds.withColumnRenamed("kind", "kind_b"), "h").where("kind <= kind_b")
+    kinds = entries.groupBy("h", "kind").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("rest") - F.col("place")).alias("most")
+    )
+    others = kinds.select("h", *(F.col(c).alias(f"{c}_b") for c in ("kind", "low", "high", "most")))
+    met = kinds.join(others, "h").where((F.col("kind") <= F.col("kind_b")) & _reach())
     met = met.select("kind", "kind_b").distinct()
     rows = entries.select("kind", "cls", "n", "rest").distinct()
     placed = rows.join(roots, "cls", "left").select(
@@ -469,11 +484,8 @@ def _across(entries: DataFrame, roots: DataFrame) -> DataFrame:
         F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("most")
     )
     other = spans.select(*(F.col(c).alias(f"{c}_b") for c in spans.columns))
-    shared = F.least("most", "most_b")
-    fits = (F.col("high") * 100 >= F.col("low_b") * PERCENT) & (F.col("high_b") * 100 >= F.col("low") * PERCENT)
-    fits &= (100 + PERCENT) * shared >= PERCENT * (F.col("low") + F.col("low_b"))
     apart = (F.col("root") != F.col("root_b")) & F.abs(F.col("bucket") - F.col("bucket_b")).isin(0, 1)
-    both = met.join(spans, "kind").join(other, "kind_b").where(apart & fits)
+    both = met.join(spans, "kind").join(other, "kind_b").where(apart & _reach())
     both = both.select("kind", "root", "bucket", "kind_b", "root_b", "bucket_b").distinct()
     members = placed.select(*(F.col(c).alias(f"{c}_b") for c in placed.columns))
     pairs = both.join(placed, ["kind", "root", "bucket"]).join(members, ["kind_b", "root_b", "bucket_b"])
@@ -524,7 +536,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, that with its smallest ``doc_id``; all columns as they were.
 
     Rows without a shingle all stay. Of repeated rows that differ in other columns only, the
-    smallest stays. A null ``doc_id`` stays only where its component has no other.
+    smallest stays. A null ``doc_id`` stays only where its component has no other. An empty table gives
+    no rows; columns of any name are kept. Rows that stay and do not repeat are not exchanged.
     """
     rows, placed = _placed(docs)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
@@ -534,15 +547,29 @@ def keep_one(docs: DataFrame) -> DataFrame:
         F.col("first.doc_id").alias("stays"), F.col("first.text_hash").alias("text_hash"), F.lit(1).alias("most")
     )
     bare = rows.where("n = 0").select(F.col("doc_id").alias("stays"), "text_hash").distinct()
-    stay = stay.unionByName(bare.withColumn("most", F.lit(None).cast("int")))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    found = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").alias("row_id"), F.xxhash64(text).alias("row_hash")
+    stay = stay.unionByName(bare.withColumn("most", F.lit(None).cast("int"))).withColumn("kept", F.lit(True))
+    keys = rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    here = F.col("doc_id").eqNullSafe(F.col("stays")) & (keys["text_hash"] == stay["text_hash"])
+    decided = keys.join(stay, here, "left").select(
+        "doc_id",
+        keys["text_hash"],
+        F.coalesce("kept", F.lit(False)).alias("kept"),
+        (F.col("rows") > F.col("most")).alias("repeated"),
     )
-    same = F.col("row_id").eqNullSafe(F.col("stays")) & (F.col("row_hash") == F.col("text_hash"))
-    repeats = Window.partitionBy("row_id", "row_hash").orderBy(F.to_json("row"))
-    numbered = found.join(stay, same).withColumn("nth", F.row_number().over(repeats))
-    return numbered.where((F.col("nth") == 1) | F.col("most").isNull()).select("row.*")
+    decided = stored(decided.where("repeated or not kept"))
+    doubtful = marked(decided, "doc_id", "text_hash")
+    found = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").alias("row_id"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("row_hash"),
+    ).withColumn("doubtful", doubtful("row_id", "row_hash"))
+    same = F.col("row_id").eqNullSafe(F.col("doc_id")) & (F.col("row_hash") == F.col("text_hash"))
+    # Marked by chance only, or one of the repeated rows of a kept id and text.
+    judged = found.where("doubtful").join(decided, same, "left").where("kept is null or kept")
+    order = Window.partitionBy("row_id", "row_hash").orderBy(F.to_json("row"))
+    one = judged.where("kept").withColumn("nth", F.row_number().over(order)).where("nth = 1")
+    alone = found.where("not doubtful").select("row").unionByName(judged.where("kept is null").select("row"))
+    return alone.unionByName(one.select("row")).select("row.*")
 
 
 def _links(texts: DataFrame, summaries: DataFrame, classes: DataFrame) -> DataFrame:
@@ -568,7 +595,9 @@ def _links(texts: DataFrame, summaries: DataFrame, classes: DataFrame) -> DataFr
     alike = alike.select(*_pair("cls", "head"))
     # What rows of long columns share beyond the counted entries is not known: up to all.
     entries = stored(
-        _spread(groups).unionByName(long.select("h", F.col("cls").alias("kind"), "cls", "n", F.col("n").alias("rest")))
+        _spread(groups).unionByName(
+            long.select("h", F.lit(0).alias("place"), F.col("cls").alias("kind"), "cls", "n", F.col("n").alias("rest"))
+        )
     )
     signed = stored(summaries.where("n > 0").select("cls", "n", "bits").dropDuplicates(["cls"]))
 
@@ -576,7 +605,7 @@ def _links(texts: DataFrame, summaries: DataFrame, classes: DataFrame) -> DataFr
         ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         if known is not None:
             ends = ends.join(known.select("cls"), "cls", "left_anti")
-        return stored(_sets_of(texts, ends.join(classes, "cls")))
+        return stored(_sets_of(texts, stored(ends.join(classes, "cls"))))
 
     counted = stored(_near(_counted_pairs(product, noisy), signed))
     partner = counted.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
@@ -595,7 +624,10 @@ def _links(texts: DataFrame, summaries: DataFrame, classes: DataFrame) -> DataFr
 
 
 def _spread(groups: DataFrame) -> DataFrame:
-    """The columns of the groups' heads: ``h, kind, cls, n, rest``; equal sets of columns are one kind."""
+    """The columns of the groups' heads: ``h, place, kind, cls, n, rest``; equal sets of columns are one kind.
+
+    ``place`` counts the head's frequent shingles that come before.
+    """
 
     @F.arrow_udf("array<long>")
     def unpacked(hashes: pa.Array) -> pa.Array:
@@ -604,9 +636,9 @@ def _spread(groups: DataFrame) -> DataFrame:
         return pa.LargeListArray.from_arrays(pa.array(at // 8), values).cast(pa.list_(pa.int64()))
 
     rows = groups.select(
-        F.explode(unpacked("hashes")).alias("h"), F.xxhash64("hashes").alias("kind"), "cls", "n", "rest"
+        F.posexplode(unpacked("hashes")).alias("place", "h"), F.xxhash64("hashes").alias("kind"), "cls", "n", "rest"
     )
-    return rows
+    return rows.select("h", "place", "kind", "cls", "n", "rest")
 
 
 def _widened(verified: DataFrame, members: DataFrame) -> DataFrame:
