@@ -218,11 +218,15 @@ def _matches(index: Index, numbers: np.ndarray) -> dict[int, float]:
         # Every occurrence of a rare word votes for the starts that its postings imply.
         i, j = np.nonzero(numbers[places][:, None] == words[posting][None, :])
         start, word = places[i] - posting[j], words[posting[j]]
+        order = np.argsort(start, kind="stable")
+        start, word = start[order], word[order]
         starts = np.unique(start)
+        low = np.searchsorted(start, starts - SLACK)
+        high = np.searchsorted(start, starts + SLACK, side="right")
         needed = min(2, len(set(rare.tolist())))
-        for s in starts.tolist():
-            near = np.abs(start - s) <= SLACK
-            if len(np.unique(word[near])) < needed:
+        # Votes near a start are no more than the template's rare words within the slack.
+        for s, first, last in zip(starts.tolist(), low.tolist(), high.tolist()):
+            if len(set(word[first:last].tolist())) < needed:
                 continue
             if not all(_stands(numbers, s + place, phrase) for place, phrase in index.phrases[t]):
                 continue

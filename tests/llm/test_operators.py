@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -381,3 +382,15 @@ def test_neighbours(spark):
         score[q] = -9
         assert got[q] == np.lexsort((np.arange(300), -score.round(12)))[:5].tolist()
     assert hilbert_neighbours.neighbours(table.where("vec_id < 0")).collect() == []
+
+
+def test_license_matches_of_a_long_file_take_time_in_proportion():
+    index = licenses.build_index({}, 10)
+    phrase = licenses._hashes("this work is licensed under the mit license".split())
+    found = {}
+    for repeats in (1, 4000):
+        begin = time.process_time()
+        matched = licenses._matches(index, index.numbers(np.tile(phrase, repeats)))
+        found[repeats] = matched, time.process_time() - begin
+    assert found[1][0].keys() <= found[4000][0].keys()
+    assert found[4000][1] < 15
