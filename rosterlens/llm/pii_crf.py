@@ -366,6 +366,18 @@ def _added(field: Field, buf: np.ndarray, offsets: np.ndarray) -> list[tuple[int
     return spans_found
 
 
+def _plausible(kind: int, found: str) -> bool:
+    """Whether a span of the field can be of its kind: an email has an @, a card passes Luhn, and so on."""
+    digits = [int(c) for c in found if c in "0123456789"]
+    if KINDS[kind] == "email":
+        return "@" in found
+    if KINDS[kind] == "ip":
+        return found.count(".") == 3 or ":" in found
+    if KINDS[kind] == "card":
+        return 13 <= len(digits) <= 19 and _luhn(digits)
+    return 7 <= len(digits) <= 15
+
+
 def find_spans(field: Field, buf: np.ndarray, offsets: np.ndarray) -> list[tuple[list[Span], list[Span]]]:
     """Per text the patterns' spans and all spans, in code points, by kind and start."""
     n = len(offsets) - 1
@@ -374,10 +386,11 @@ def find_spans(field: Field, buf: np.ndarray, offsets: np.ndarray) -> list[tuple
     for i in np.flatnonzero(hot[offsets[1:]] > hot[offsets[:-1]]).tolist():
         base[i] = base_spans(buf[offsets[i] : offsets[i + 1]].tobytes().decode())
     whole = [list(b) for b in base]
+    characters = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
     for i, kind, start, end in _added(field, buf, offsets):
-        begin = offsets[i]
-        first = int(((buf[begin:start] & 0xC0) != 0x80).sum())
-        last = first + int(((buf[start:end] & 0xC0) != 0x80).sum())
+        if not _plausible(kind, buf[start:end].tobytes().decode()):
+            continue
+        first, last = (int(characters[x] - characters[offsets[i]]) for x in (start, end))
         if all(last <= a or b <= first for _, a, b in base[i]):
             whole[i].append((kind, first, last))
     return [(b, sorted(w)) for b, w in zip(base, whole)]

@@ -394,3 +394,11 @@ def test_license_matches_of_a_long_file_take_time_in_proportion():
         found[repeats] = matched, time.process_time() - begin
     assert found[1][0].keys() <= found[4000][0].keys()
     assert found[4000][1] < 15
+
+
+def test_spans_of_the_field_have_the_form_of_their_kind():
+    kinds = {k: i for i, k in enumerate(pii_crf.KINDS)}
+    good = [("email", "me@localhost"), ("ip", "10.0.0.1"), ("card", "378282246310005"), ("phone", "(030) 123-4567")]
+    bad = [("email", "4.0"), ("ip", "4.0"), ("card", "1234567812345678"), ("phone", "2024")]
+    assert all(pii_crf._plausible(kinds[k], text) for k, text in good)
+    assert not any(pii_crf._plausible(kinds[k], text) for k, text in bad)
