@@ -9,7 +9,7 @@ many source rows small before it is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlens.functions.labels import pairing_label, yes_no
@@ -58,9 +58,60 @@ def pair_presence(listed: DataFrame, group: list[str], requests: Requests) -> Da
     )
 
 
+def key_presence(listed: DataFrame, key: list[str], requests: Requests) -> DataFrame:
+    """Presence of each key in every pairing, for many keys with few places each.
+
+    A key meets a pairing at each of its places there. The first of them stands for all, and the
+    flags follow from the places the key carries, so nothing is grouped after the pairings: a
+    task holds the keys, not the keys times their pairings. Only a key in several counties needs
+    the list of requested counties; elsewhere the county was met by the join.
+    """
+    pairs = requests.pairs.select(
+        "req_id",
+        "pair_idx",
+        (F.col("base_id") != F.col("compare_id")).alias("two_networks"),
+        "base_raw",
+        "compare_raw",
+        F.array_union("base_raw", "compare_raw").alias("pair_raw"),
+        F.col("counties").alias("pair_counties"),
+    )
+    counties = requests.counties.withColumnRenamed("fips", "place_fips")
+    in_one_county = F.element_at("places.place_fips", 1) == F.array_min("places.place_fips")
+    in_one_county &= F.element_at("places.place_fips", 1) == F.array_max("places.place_fips")
+    here = F.filter(
+        "places",
+        lambda place: F.array_contains("pair_raw", place["raw_network_id"])
+        & (in_one_county | F.array_contains("pair_counties", place["place_fips"])),
+    )
+
+    def any_of(side: str) -> Column:
+        return F.arrays_overlap("here.raw_network_id", side)
+
+    return (
+        listed.select(*key, "places", F.inline("places"))
+        .join(requests.small(requests.sides.select("req_id", "pair_idx", "raw_network_id")), "raw_network_id")
+        .join(requests.small(counties), ["req_id", "place_fips"])
+        .join(requests.small(pairs), ["req_id", "pair_idx"])
+        .withColumn("here", F.when(F.size("places") == 1, F.col("places")).otherwise(here))
+        .where(F.col("here")[0] == F.struct("raw_network_id", "place_fips"))
+        .select(
+            "req_id",
+            "pair_idx",
+            *key,
+            any_of("base_raw").alias("in_base"),
+            any_of("compare_raw").alias("in_compare"),
+            "two_networks",
+        )
+        .withColumn(
+            "is_common", F.col("in_base") & F.col("in_compare") & F.col("two_networks")
+        )
+        .drop("two_networks")
+    )
+
+
 def provider_presence(rows: DataFrame, key: list[str], requests: Requests) -> DataFrame:
     """Presence per pairing and provider key."""
-    return pair_presence(listings(requests.restrict(rows), key), key, requests)
+    return key_presence(listings(requests.restrict(rows), key), key, requests)
 
 
 def network_sides(presence: DataFrame, requests: Requests) -> DataFrame:

@@ -9,7 +9,7 @@ import build
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlens.operators import counts, exports, indicators, scoring
+from rosterlens.operators import counts, exports, indicators, membership, scoring
 from rosterlens.plans.comparison import compare_networks
 from rosterlens.session import prepare
 from rosterlens.sources import sample
@@ -73,6 +73,13 @@ def test_counts_shuffle_the_providers_once(spark, inputs):
     assert exchanges(counts.individual_counts(inputs.individuals, many_pairs(spark, 5))) == 3
 
 
+def test_keys_are_not_grouped_again_for_their_pairings(spark, inputs):
+    key = membership.ORGANIZATION_COUNTY_NAME_KEY
+    presence = membership.provider_presence(inputs.organizations, key, many_pairs(spark, 5))
+    assert "keys=[npi" in plan(presence)
+    assert "keys=[req_id" not in plan(presence)
+
+
 def test_the_scan_reads_only_the_needed_columns(spark, tmp_path):
     people = build.individuals(spark, dict(npi=1))
     people.write.parquet(str(tmp_path / "people"))
