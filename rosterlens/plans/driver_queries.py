@@ -312,36 +312,48 @@ def performance_indicators(spark, sf_dir):
     )
 
 
-def _hospital_rows(spark, sf_dir):
+def _hospital_rows(spark, sf_dir, request):
     return exports.hospital_rows(
         tables.organizations(spark, sf_dir),
         tables.organization_scores(spark, sf_dir),
         tables.hospital_names(spark, sf_dir),
-        _request_tables(spark, sf_dir),
+        request,
     )
 
 
-def organization_export(spark, sf_dir):
-    return exports.organization_export(_hospital_rows(spark, sf_dir), _request_tables(spark, sf_dir))
+def _organization_export(spark, sf_dir, request):
+    return exports.organization_export(_hospital_rows(spark, sf_dir, request), request)
 
 
-def individual_export(spark, sf_dir):
+def _individual_export(spark, sf_dir, request):
     return exports.individual_export(
         tables.individuals(spark, sf_dir),
         tables.individual_scores(spark, sf_dir),
-        _hospital_rows(spark, sf_dir),
-        _request_tables(spark, sf_dir),
+        _hospital_rows(spark, sf_dir, request),
+        request,
     )
 
 
-def _view(export, request_id, pair_idx, columns, base_name, compare_name):
-    pairing = export.where((F.col("req_id") == request_id) & (F.col("pair_idx") == pair_idx))
+def organization_export(spark, sf_dir):
+    return _organization_export(spark, sf_dir, _request_tables(spark, sf_dir))
+
+
+def individual_export(spark, sf_dir):
+    return _individual_export(spark, sf_dir, _request_tables(spark, sf_dir))
+
+
+def _view(export, spark, sf_dir, request_id, pair_idx, columns, base_name, compare_name):
+    """One pairing of an export, which is worked out for the pairing's request only."""
+    rows = export(spark, sf_dir, _request_tables(spark, sf_dir).of_request(request_id))
+    pairing = rows.where((F.col("req_id") == request_id) & (F.col("pair_idx") == pair_idx))
     return exports.export_view(exports.order_export(pairing), columns, base_name, compare_name)
 
 
 def export_client_8(spark, sf_dir):
     return _view(
-        individual_export(spark, sf_dir),
+        _individual_export,
+        spark,
+        sf_dir,
         "Req_1",
         2,
         exports.individual_columns(8),
@@ -352,7 +364,9 @@ def export_client_8(spark, sf_dir):
 
 def export_client_45(spark, sf_dir):
     return _view(
-        individual_export(spark, sf_dir),
+        _individual_export,
+        spark,
+        sf_dir,
         "Req_2",
         1,
         exports.individual_columns(45),
@@ -363,7 +377,9 @@ def export_client_45(spark, sf_dir):
 
 def export_client_5(spark, sf_dir):
     return _view(
-        individual_export(spark, sf_dir),
+        _individual_export,
+        spark,
+        sf_dir,
         "Req_3",
         2,
         exports.individual_columns(5),
@@ -374,7 +390,9 @@ def export_client_5(spark, sf_dir):
 
 def export_client_other(spark, sf_dir):
     return _view(
-        individual_export(spark, sf_dir),
+        _individual_export,
+        spark,
+        sf_dir,
         "Req_4",
         1,
         exports.individual_columns(exports.DEFAULT),
@@ -385,7 +403,9 @@ def export_client_other(spark, sf_dir):
 
 def organization_export_client_5(spark, sf_dir):
     return _view(
-        organization_export(spark, sf_dir),
+        _organization_export,
+        spark,
+        sf_dir,
         "Req_3",
         2,
         exports.organization_columns(5),

@@ -192,6 +192,10 @@ class Requests:
         wanted = F.col("reason").isNull() & (F.col("release") == release)
         return self._with(self._parsed.where(wanted))
 
+    def of_request(self, req_id: str) -> Requests:
+        """One accepted request; only its networks, counties and column set are then asked for."""
+        return self._with(self._parsed.where(F.col("reason").isNull() & (F.col("req_id") == req_id)))
+
     def reject_releases(self, releases: list[str], reason: str) -> Requests:
         """These requests, those about the given releases rejected."""
         if not releases:

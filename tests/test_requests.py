@@ -111,3 +111,15 @@ def test_letters_after_digits_are_no_number(spark):
 
     rows = spark.createDataFrame([("4d",), ("4f",), ("4.5",), ("1e2",)], "t string").select(number(F.col("t")))
     assert [r[0] for r in rows.collect()] == [None, None, 4.5, 100.0]
+
+
+def test_of_request_asks_for_its_own_networks_and_counties_only(spark):
+    requests = build.requests(
+        spark,
+        build.request("R1", base=("1", "Org A", "100001"), compares=(("2", "Org B", "100002"),)),
+        build.request("R2", base=("3", "Org C", "100003"), compares=(("2", "Org B", "100002"),)),
+    )
+    one = requests.of_request("R2")
+    assert {r["req_id"] for r in one.pairs.collect()} == {"R2"}
+    assert one.raw_network_ids() == [100002, 100003]
+    assert requests.of_request("R3").pairs.count() == 0
