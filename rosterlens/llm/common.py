@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 #: Array operations on a byte take some hundred bytes of memory, so slices are small.
 SLICE_BYTES = 1 << 19
 ROWS_PER_BATCH = 2000
-BYTES_PER_BATCH = 1 << 23
+BYTES_PER_BATCH = 1 << 21
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)

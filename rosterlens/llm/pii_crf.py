@@ -337,6 +337,9 @@ def fit(labelled: DataFrame) -> Field:
 
 # ---- on documents -----------------------------------------------------------------------------
 
+#: Texts that are redacted go out slice by slice; in a row of stages a worker keeps what earlier ones took.
+REDACTED_BYTES = 1 << 17
+
 _TRAILING = frozenset(b".,;:!?\"'")
 
 
@@ -448,22 +451,29 @@ def redact(docs: DataFrame, field: Field | None = None) -> DataFrame:
     prepare(docs.sparkSession)
     field = field or fit(labelled_table(docs))
 
-    def clean(texts: pa.Array) -> pa.Array:
-        out = []
-        for _, _, buf, offsets in text_slices(texts):
-            for i, (_, found) in enumerate(find_spans(field, buf, offsets)):
-                raw = buf[offsets[i] : offsets[i + 1]].tobytes()
-                out.append(_without(raw.decode(), found) if found else raw.decode())
-        return pa.array(out, pa.string())
-
-    text = F.coalesce(F.col("text"), F.lit(""))
-    cleaned = F.when(F.col("text").isNotNull(), F.arrow_udf(clean, "string")(text))
-    out = docs.withColumn("text", cleaned)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text"))
-        out = out.withColumn("n_chars", length.cast(kind))
-    return out
+    n_chars = docs.schema.names.index("n_chars") if "n_chars" in docs.columns else -1
+    at = docs.columns.index("text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at)
+            filled = texts.fill_null("") if texts.null_count else texts
+            for low, high, buf, offsets in text_slices(filled, REDACTED_BYTES):
+                part = batch.slice(low, high - low)
+                out = [buf[offsets[i] : offsets[i + 1]].tobytes().decode() for i in range(high - low)]
+                for i, (_, found) in enumerate(find_spans(field, buf, offsets)):
+                    if found:
+                        out[i] = _without(out[i], found)
+                known = part.column(at).is_valid().to_pylist()
+                columns = part.columns
+                columns[at] = pa.array([x if k else None for x, k in zip(out, known)], texts.type)
+                if n_chars >= 0:
+                    old = part.column(n_chars)
+                    length = [len(x) if k else n for x, k, n in zip(out, known, old.to_pylist())]
+                    columns[n_chars] = pa.array(length, old.type)
+                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def _without(text: str, found: list[Span]) -> str:

@@ -191,6 +191,19 @@ def test_personal_data(docs, empty):
     assert pii_crf.spans_of(empty).collect() == []
 
 
+def test_redacted_texts_go_out_slice_by_slice(spark):
+    long = "mail a.b@c.de now " + "word " * 40000
+    table = [(1, long, 7), (2, None, 5), (3, "", 9), (4, "\u00e9 x@y.zz", 1)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, n_chars int").coalesce(1)
+    clean = pii_crf.redact(docs)
+    # A scalar function would hold a whole batch of texts on both sides.
+    assert "MapInArrow" in clean._jdf.queryExecution().executedPlan().toString()
+    assert clean.schema == docs.schema
+    found = {r["doc_id"]: (r["text"], r["n_chars"]) for r in clean.collect()}
+    text = long.replace("a.b@c.de", "[EMAIL]")
+    assert found == {1: (text, len(text)), 2: (None, 5), 3: ("", 0), 4: ("\u00e9 [EMAIL]", 9)}
+
+
 def test_viterbi_equals_enumeration():
     rng = np.random.default_rng(2)
     size = pii_crf._TEMPLATES * (pii_crf._HASHED + 1)
