@@ -17,7 +17,7 @@ its component.
 
 Before two sets are compared, their signatures are: 1024 bits, of which every shingle sets one. A
 bit that one set has and the other lacks is a shingle they do not share, so the bits bound the
-overlap from above and no link is lost. Whole sets are sent only for the pairs that are left.
+overlap from above and no link is lost. Whole texts are sent only for the pairs that are left.
 """
 
 from __future__ import annotations
@@ -343,53 +343,55 @@ def _product(entries: DataFrame) -> DataFrame:
 # ---- comparison -------------------------------------------------------------------------------
 
 
-def _sets_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """The whole sets of the needed classes: ``cls, hashes``, one row each."""
+def _texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """A text of each of the needed classes, and of few others: ``cls, text``, one row a class.
+
+    A text is some third of the size of its set and is compressed on its way, so texts are sent
+    and their sets are made where they are compared.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            expected = np.array(batch.column(0))
-            for low, high, buf, offsets in text_slices(batch.column(1)):
-                found, bounds = shingle_sets(buf, offsets)
-                right = np.flatnonzero(set_keys(found, bounds) == expected[low:high])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(expected[low:high][right]),
-                        pa.array([found[bounds[i] : bounds[i + 1]].tobytes() for i in right], pa.binary()),
-                    ],
-                    ["cls", "hashes"],
-                )
+            for low, high, buf, offsets in text_slices(batch.column(0)):
+                keys = set_keys(*shingle_sets(buf, offsets))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0)[low:high]], ["cls", "text"])
 
     wanted = marked(needed, "doc_id", "text_hash")
     texts = whole_texts(docs, F.col("doc_id").alias("rep")).withColumn("rep_hash", F.xxhash64("text"))
-    # Texts that are not asked for stay where they are.
-    texts = texts.where(wanted("rep", "rep_hash"))
-    same = F.col("rep").eqNullSafe(F.col("doc_id")) & (F.col("rep_hash") == F.col("text_hash"))
-    texts = texts.join(needed, same)
-    # What is left of a repeated doc_id are rows with the same text.
-    return texts.select("cls", "text").mapInArrow(run, "cls long, hashes binary").dropDuplicates(["cls"])
+    # Texts that are not asked for stay where they are; repeated rows combine before they are sent.
+    texts = texts.where(wanted("rep", "rep_hash")).select("text")
+    return texts.mapInArrow(run, "cls long, text string").dropDuplicates(["cls"])
+
+
+def similar(left: pa.Array, right: pa.Array, frequent: np.ndarray) -> np.ndarray:
+    """Per pair of texts 0 if their sets are not similar, 2 if they are so by frequent shingles alone, else 1."""
+    out = np.zeros(len(left), np.int32)
+    for low, high, buf, offsets in text_slices(left):
+        a, a_at = shingle_sets(buf, offsets)
+        b, b_at = shingle_sets(*text_bytes(right[low:high]))
+        for i in range(high - low):
+            x, y = a[a_at[i] : a_at[i + 1]], b[b_at[i] : b_at[i + 1]]
+            shared = np.intersect1d(x, y, assume_unique=True)
+            both, often = len(x) + len(y), 0
+            if (100 + PERCENT) * len(shared) < PERCENT * both:
+                continue
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, shared), len(frequent) - 1)
+                often = int((frequent[at] == shared).sum())
+            out[low + i] = 2 if (100 + PERCENT) * often >= PERCENT * both else 1
+    return out
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, frequent: np.ndarray) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, frequent: np.ndarray) -> DataFrame:
     """The pairs of classes ``a, b`` that are similar, and whether by frequent shingles alone."""
 
     def compare(left: pa.Array, right: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(left, right):
-            a, b = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-            shared = np.intersect1d(a, b, assume_unique=True)
-            both, often = len(a) + len(b), 0
-            similar = (100 + PERCENT) * len(shared) >= PERCENT * both
-            if similar and len(frequent):
-                at = np.minimum(np.searchsorted(frequent, shared), len(frequent) - 1)
-                often = int((frequent[at] == shared).sum())
-            out.append(2 if similar and (100 + PERCENT) * often >= PERCENT * both else int(similar))
-        return pa.array(out, pa.int32())
+        return pa.array(similar(left, right, frequent))
 
-    first = sets.select(F.col("cls").alias("a"), F.col("hashes").alias("hashes_a"))
-    second = sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hashes_b"))
+    first = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
+    second = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.select("a", "b").join(first, "a").join(second, "b")
-    found = joined.select("a", "b", F.arrow_udf(compare, "int")("hashes_a", "hashes_b").alias("how"))
+    found = joined.select("a", "b", F.arrow_udf(compare, "int")("text_a", "text_b").alias("how"))
     return found.where("how > 0").select("a", "b", (F.col("how") == 2).alias("frequent"))
 
 
@@ -601,17 +603,14 @@ def _links(texts: DataFrame, summaries: DataFrame, classes: DataFrame) -> DataFr
     )
     signed = stored(summaries.where("n > 0").select("cls", "n", "bits").dropDuplicates(["cls"]))
 
-    def sets_for(pairs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    def verified(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        if known is not None:
-            ends = ends.join(known.select("cls"), "cls", "left_anti")
-        return stored(_sets_of(texts, stored(ends.join(classes, "cls"))))
+        return _verified(pairs, _texts_of(texts, stored(ends.join(classes, "cls"))), frequent)
 
     counted = stored(_near(_counted_pairs(product, noisy), signed))
     partner = counted.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     tried = stored(partner.unionByName(_near(_leader_pairs(entries), signed)).distinct())
-    sets = sets_for(tried)
-    links = stored(_widened(_verified(tried, sets, frequent), members).unionByName(alike))
+    links = stored(_widened(stored(verified(tried)), members).unionByName(alike))
     roots = stored(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     more = stored(
         _outside(counted, roots).unionByName(_near(_across(entries, _settled(roots, members)), signed))
@@ -619,8 +618,7 @@ def _links(texts: DataFrame, summaries: DataFrame, classes: DataFrame) -> DataFr
     )
     if more.isEmpty():
         return links
-    sets = sets.unionByName(sets_for(more, sets))
-    return links.unionByName(stored(_widened(_verified(more, sets, frequent), members)))
+    return links.unionByName(stored(_widened(stored(verified(more)), members)))
 
 
 def _spread(groups: DataFrame) -> DataFrame:

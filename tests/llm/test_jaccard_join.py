@@ -103,3 +103,30 @@ def test_signatures_bound_the_overlap_from_above():
     for (i, a), (j, b) in itertools.product(enumerate(sets), repeat=2):
         lacking = sum(int(x).bit_count() for x in bits[i] & ~bits[j])
         assert len(np.intersect1d(a, b)) <= len(a) - lacking
+
+
+def test_a_text_of_each_class_is_sent_once(spark):
+    """What is sent for comparisons are texts, not sets, and one of each class asked for."""
+    from pyspark.sql import functions as F
+
+    rows = [(1, "A b c d e f"), (1, "A b c d e f"), (2, "a  b c d e f"), (3, "u v w x y z"), (None, "g h i j k l")]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows * 50], SCHEMA).repartition(3)
+    one = F.min(F.struct("doc_id", F.xxhash64("text").alias("text_hash"))).alias("one")
+    needed = docs.where("doc_id is null or doc_id < 3").groupBy("doc_id", "text").agg(one).select("one.*")
+    sent = jaccard_join._texts_of(docs, needed)
+    assert sent.columns == ["cls", "text"]
+    found = [r["text"].lower().split() for r in sent.collect()]
+    assert sorted(found) == [["a", "b", "c", "d", "e", "f"], ["g", "h", "i", "j", "k", "l"]]
+
+
+def test_pairs_of_texts_are_compared_whole():
+    import numpy as np
+    import pyarrow as pa
+
+    words = [f"w{i}" for i in range(1005)]
+    left = [words[:104], words, words[:9], words]
+    right = [words[4:104], words[100:], words[:8] + ["Z"], words]
+    texts = [pa.array([" ".join(w) for w in side]) for side in (left, right)]
+    every = jaccard_join.shingle_sets(np.frombuffer(" ".join(words).encode(), np.uint8), np.array([0, len(" ".join(words))]))[0]
+    assert jaccard_join.similar(*texts, np.zeros(0, np.uint64)).tolist() == [1, 1, 0, 1]
+    assert jaccard_join.similar(*texts, every).tolist() == [2, 2, 0, 2]
