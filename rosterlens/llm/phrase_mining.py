@@ -61,26 +61,43 @@ _LENGTH = "CASE WHEN phrase = '' THEN 0 ELSE length(phrase) - length(replace(phr
 # ---- phrases of a slice -----------------------------------------------------------------------
 
 
+def _within(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The positions of all ranges, one range after another; by steps, for they are many."""
+    some = ends > starts
+    starts, ends = starts[some], ends[some]
+    step = np.ones(int((ends - starts).sum()), np.int32)
+    if len(starts):
+        at = np.cumsum(ends - starts)[:-1]
+        step[0] = starts[0]
+        step[at] = starts[1:] - ends[:-1] + 1
+    return np.cumsum(step, dtype=np.int32)
+
+
 def _joined(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All words with one space after each, and where every word starts there."""
     length = ends - starts
     at = np.cumsum(length + 1) - (length + 1)
-    out = np.full(int((length + 1).sum()), 32, np.uint8)
-    word = np.repeat(np.arange(len(starts)), length)
-    within = np.arange(len(word)) - np.repeat(np.cumsum(length) - length, length)
-    out[at[word] + within] = buf[starts[word] + within]
+    out = np.append(buf, np.uint8(32))[_within(starts, ends + 1)]
+    out[at + length] = 32
     return out, at
 
 
 def _strings(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     """The ranges of a buffer as strings."""
-    length = ends - starts
-    offsets = np.concatenate([[0], np.cumsum(length)])
-    data = buf[np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], length)]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    data = buf[_within(starts, ends)]
     buffers = [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
     return pa.Array.from_buffers(pa.string(), len(starts), buffers)
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of every distinct hash, whichever, and how often it is there."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    return order[first], np.diff(np.r_[first, len(order)])
+
+
 def _begun(seeds: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Hashes of phrases of one word."""
     return mix(seeds ^ words)
@@ -146,7 +163,7 @@ def _counted(
             hashes = _longer(hashes[:-1], words[length - 1 :])
         active = np.flatnonzero((first <= step) & (step < first + shards))
         if len(active):
-            _, index, n = np.unique(hashes[active], return_index=True, return_counts=True)
+            index, n = _distinct(hashes[active])
             i = active[index]
             last = i + length - 1
             yield language[row[i]], _strings(text, at[i], at[last] + (ends - starts)[last]), first[i], n
@@ -194,7 +211,9 @@ def _slots(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordB
 def _written(table: DataFrame, *parts: str) -> DataFrame:
     spark = table.sparkSession
     path = shared_folder(spark)
-    table.write.option("compression", "zstd").partitionBy(*parts).parquet(path)
+    writer = table.write.option("compression", "zstd").partitionBy(*parts)
+    # Hardly a phrase repeats, so a dictionary of them is built in vain.
+    writer.option("parquet.enable.dictionary#phrase", "false").parquet(path)
     return spark.read.schema(table.schema).parquet(path)
 
 
@@ -245,7 +264,7 @@ def count_phrases(
         "shard",
     )
     since = np.full(slots, _NEVER, np.uint8)
-    key = ["lang", "phrase", "start"]
+    key = ["lang", "phrase"]
     steps: list[DataFrame] = []
     step, last = 0, shards
     while step < last:
@@ -253,16 +272,18 @@ def count_phrases(
         shared = spark.sparkContext.broadcast(zlib.compress(since.tobytes(), 1))
         scan = _step(corpus.where(F.col("shard") == step % shards), shared, step, shards, most_words)
         if steps:
-            scan = scan.unionByName(steps[-1].where("not complete").select(*key, "n"))
-        counts = scan.groupBy(*key).agg(F.sum("n").alias("n"))
+            scan = scan.unionByName(steps[-1].where("not complete").select(*key, "start", "n"))
+        # A phrase begins where its parts have reached the threshold, in every slice alike.
+        counts = scan.groupBy(*key).agg(F.min("start").alias("start"), F.sum("n").alias("n"))
         counts = counts.withColumns(
             {
                 "complete": F.col("start") + shards <= step + 1,
                 "frequent": (F.col("n") >= least) | (F.col("phrase") == ""),
             }
         )
+        # Complete counts below the threshold are final and nothing asks for them; most are such.
         # Folders of their own, so the frequent ones are found without reading the others.
-        steps.append(_written(counts, "complete", "frequent"))
+        steps.append(_written(counts.where("frequent or not complete"), "complete", "frequent"))
         shared.destroy()
         before, since = since, _reached(steps[-1], since, step, most_words)
         if (before != since).any():

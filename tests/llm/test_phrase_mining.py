@@ -99,3 +99,28 @@ def test_a_long_text_is_cut_between_its_pieces(monkeypatch):
     assert len(cuts) > 20 and all(c[:1] in b",." for c in cuts[1:])
     # Every text is in one slice of its own rows only.
     assert [low for low, _, offsets in parts for _ in np.diff(offsets)].count(0) == 1
+
+
+def test_complete_counts_below_the_threshold_are_not_written(docs, monkeypatch):
+    """They are final and nothing asks for them; all others are kept."""
+    written, write = [], phrase_mining._written
+
+    def kept(table, *parts):
+        written.append(write(table, *parts))
+        return written[-1]
+
+    monkeypatch.setattr(phrase_mining, "_written", kept)
+    phrase_mining.count_phrases(docs)
+    steps = [t for t in written if "complete" in t.columns]
+    assert sum(t.where("complete and not frequent").count() for t in steps) == 0
+    assert sum(t.where("not complete and not frequent").count() for t in steps) > 0
+
+
+def test_ranges_of_a_buffer():
+    buf = np.frombuffer(b"abcdefgh", np.uint8)
+    starts, ends = np.array([0, 3, 3, 7, 1]), np.array([2, 3, 6, 8, 8])
+    assert phrase_mining._strings(buf, starts, ends).to_pylist() == ["ab", "", "def", "h", "bcdefgh"]
+    none = np.zeros(2, np.int64)
+    assert phrase_mining._strings(buf, none, none).to_pylist() == ["", ""]
+    text, at = phrase_mining._joined(buf, np.array([0, 3, 7]), np.array([2, 6, 8]))
+    assert text.tobytes() == b"ab def h " and at.tolist() == [0, 3, 7]
