@@ -280,6 +280,14 @@ def _is_scored() -> Column:
     return (F.col("Quality Score") != MISSING) | (F.col("Cost Score") != MISSING)
 
 
+def _telling(key: list[str]) -> list[str]:
+    """The columns of a key, those first that tell most keys apart.
+
+    Rows are sorted by the columns in turn, and those of one provider are alike in all but the last.
+    """
+    return [key[0], *reversed(key[1:])]
+
+
 def _scored_places(
     rows: DataFrame, key: list[str], scores: DataFrame, score_on: list[str]
 ) -> DataFrame:
@@ -293,27 +301,41 @@ def _scored_places(
     """
     rest = [c for c in score_on if c not in (*key, "fips")]
     place = F.struct("raw_network_id", F.col("fips").alias("place_fips"), *rest)
-    listed = rows.groupBy(*key).agg(F.sort_array(F.collect_set(place)).alias("places"))
-    details = F.transform(
-        "places",
-        lambda p: F.struct(p["place_fips"].alias("fips"), *[p[c].alias(c) for c in rest]),
-    )
+    listed = rows.groupBy(*_telling(key)).agg(F.sort_array(F.collect_set(place)).alias("places"))
+
+    def detail(place: Column) -> Column:
+        return F.struct(place["place_fips"].alias("fips"), *[place[c].alias(c) for c in rest])
+
+    # Most keys have one place, for which the functions of arrays need not run.
+    one, only = F.size("places") == 1, F.col("places")[0]
     listed_at = F.transform("places", lambda p: F.struct(p["raw_network_id"], p["place_fips"]))
-    in_several_counties = F.size(F.array_distinct("places.place_fips")) > 1
+    in_several_counties = ~one & (F.size(F.array_distinct("places.place_fips")) > 1)
     narrow = (
         listed.select(
             *key,
-            F.array_distinct("places.raw_network_id").alias("networks"),
+            F.when(one, F.array(only["raw_network_id"]))
+            .otherwise(F.array_distinct("places.raw_network_id"))
+            .alias("networks"),
             F.when(in_several_counties, F.array_distinct(listed_at)).alias("places"),
-            F.array_distinct(details).alias("details"),
+            F.when(one, F.array(detail(only)))
+            .otherwise(F.array_distinct(F.transform("places", detail)))
+            .alias("details"),
         )
-        # Tells the keys apart that rows alike in all shown columns come from.
-        .withColumn("origin", F.md5(F.to_json(F.struct("networks", "places"))))
-        .select(*key, "networks", "places", "origin", F.inline("details"))
+        .select(*key, "networks", "places", F.inline("details"))
     )
     return left_join_one(narrow, scores, score_on)
 
 
+def _with_origin(rows: DataFrame) -> DataFrame:
+    """``origin`` tells the keys apart that rows alike in all shown columns come from.
+
+    It follows from the networks and places of the key, so it is made where rows are fewest.
+    """
+    networks = F.array_join(F.col("networks").cast("array<string>"), ",")
+    both = F.when(F.col("places").isNull(), networks).otherwise(F.to_json(F.struct("networks", "places")))
+    return rows.withColumn("origin", F.md5(both))
+
+
 def _attach(rows: DataFrame, narrow: DataFrame, key: list[str]) -> DataFrame:
     """Join wide rows to their narrow row; county name and score key may be null.
 
@@ -325,7 +347,7 @@ def _attach(rows: DataFrame, narrow: DataFrame, key: list[str]) -> DataFrame:
     nullable = ("county_name", "score_key")
     condition = [
         F.col(c).eqNullSafe(F.col(f"_{c}")) if c in nullable else F.col(c) == F.col(f"_{c}")
-        for c in key
+        for c in _telling(key)
     ]
     return rows.join(right, condition, "inner").drop(*[f"_{c}" for c in key])
 
@@ -339,7 +361,7 @@ def with_facility_name(hospitals: DataFrame, names: DataFrame) -> DataFrame:
 
 
 _HOSPITAL_COLUMNS = [
-    *PLACE,
+    *[c for c in PLACE if c != "origin"],
     "type",
     "npi",
     "presentation_name",
@@ -367,7 +389,7 @@ def hospital_rows(
     narrow = _scored_places(hospitals, key, scores, ORGANIZATION_SCORE_KEY)
     # The specialty code is not shown; without it the rows of a hospital become few.
     scored = _attach(hospitals, narrow, [*key, "fips"]).select(*_HOSPITAL_COLUMNS).distinct()
-    shown = with_facility_name(scored, names).select(
+    shown = with_facility_name(_with_origin(scored), names).select(
         *PLACE,
         F.col("type").alias("Type"),
         F.col("npi").alias("NPI"),
@@ -398,7 +420,7 @@ def individual_rows(individuals: DataFrame, scores: DataFrame, requests: Request
     """Formatted individual rows of the requested networks, before columns and pairings."""
     rows = with_score_key(requests.restrict(individuals))
     key = COUNTY_NAME_KEY
-    narrow = _scored_places(rows, key, scores, INDIVIDUAL_SCORE_KEY)
+    narrow = _with_origin(_scored_places(rows, key, scores, INDIVIDUAL_SCORE_KEY))
     scored = _attach(rows, narrow, [*key, "fips", "score_key"])
     shown = scored.select(
         *PLACE,

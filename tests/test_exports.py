@@ -155,3 +155,17 @@ def test_view_names_its_flags_after_the_plans(spark, requests):
     assert "Org A HMO" in named and "Org B HMO" in named
     same = exports.export_view(export, columns, "Org A HMO", "Org A HMO").columns
     assert len(same) == len(set(same))
+
+
+def test_keys_are_compared_by_their_telling_columns_and_origins_by_networks_and_places(spark):
+    from pyspark.sql import functions as F
+    from rosterlens.operators import exports
+
+    key = ["npi", "state", "county_name", "address_key", "provider_type", "specialty_code"]
+    assert exports._telling(key) == ["npi", "specialty_code", "provider_type", "address_key", "county_name", "state"]
+    places = "array(named_struct('raw_network_id', 1L, 'place_fips', 5L), named_struct('raw_network_id', 2L, 'place_fips', 7L))"
+    none = "cast(null as array<struct<raw_network_id: bigint, place_fips: bigint>>)"
+    rows = spark.createDataFrame([([1], 0), ([1, 2], 0), ([1, 2], 0), ([12], 0), ([1, 2], 1)], "networks array<long>, several int")
+    rows = rows.withColumn("places", F.when(F.col("several") == 1, F.expr(places)).otherwise(F.expr(none)))
+    origins = [r["origin"] for r in exports._with_origin(rows).collect()]
+    assert origins[1] == origins[2] and len(set(origins)) == 4
