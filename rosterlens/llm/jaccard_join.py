@@ -3,17 +3,19 @@
 Documents with the same set of shingles are one row of the matrix. Its columns are shingles in
 one global order, the most frequent ones last; rows that are similar enough share a shingle among
 the first quarter, so only these entries are multiplied. The entries are dealt to column blocks;
-a block multiplies its columns with each other and gives partial overlap counts of pairs. Summed
-over blocks, pairs that cannot reach the bound for their sizes go, and the others are compared
-whole.
+a block multiplies its columns with each other and gives pairs. An entry has its place in its row
+and the column before it: a pair is given where its rows come from different columns, which holds
+at the first column they share, and if what is left of both rows from there on can reach the bound
+for their sizes, which holds there for all similar rows. So near copies, which share most of their
+columns, are not given once per block.
 
 Frequent columns are not multiplied out, for that would be the square of a group of copies. A row
-that has one among its first entries has all its other shingles there too, which are counted. So
-beyond the counted pairs two such rows share frequent shingles only, and whether they are similar
-depends on the sets of these and on their sizes: rows that agree in both are one group. Groups
-are compared with a leader first, then where they are not in one component yet. The same holds for
-candidates of the product: each row is compared with its smallest partner, then with those outside
-its component.
+that has one among its first entries has all its other shingles there too, which are multiplied.
+So beyond the pairs of the product two such rows share frequent shingles only, and whether they
+are similar depends on the sets of these and on their sizes: rows that agree in both are one group.
+Groups are compared with a leader first, the one that has the least besides frequent shingles and
+so is nearest to what the others are copies of, then where they are not in one component yet. The same holds for candidates of the product: each row is compared with its
+smallest partner, then with those outside its component.
 
 Before two sets are compared, their signatures are: 1024 bits, of which every shingle sets one. A
 bit that one set has and the other lacks is a shingle they do not share, so the bits bound the
@@ -50,7 +52,11 @@ _COUNTED = 1 << 22
 #: 64-bit words of a signature.
 SIGNATURE = 16
 _PAIRS = 1 << 20
-_ENTRY = np.dtype([("h", "<u8"), ("cls", "<i8"), ("n", "<i4"), ("m", "<i4")])
+#: A column is the first 48 bits of a hash; shingles that share them are one column.
+_COLUMN = np.uint64(16)
+_ENTRY = np.dtype(
+    [("low", "<u4"), ("high", "<u2"), ("prev_low", "<u4"), ("prev_high", "<u2"), ("place", "<u2"), ("n", "<i4"), ("cls", "<i8")]
+)
 _CARRIERS = 64
 
 
@@ -206,10 +212,12 @@ def _entries(texts: DataFrame, frequent: np.ndarray, places: np.ndarray, blocks:
                 rare = np.bincount(row[~last], minlength=len(keys))
                 yield _carriers(found, bounds, frequent, keys, rare, picked[last], row[last])
                 picked, row = picked[~last], row[~last]
+                column, place, prev, picked, row = _chained(found, picked, row)
                 entries = np.empty(len(picked), _ENTRY)
-                entries["h"], entries["cls"] = found[picked], keys[row]
-                entries["n"], entries["m"] = size[row], rare[row]
-                block = (mix(found[picked]) % np.uint64(blocks)).astype(np.int32)
+                entries["low"], entries["high"] = _halves(column)
+                entries["prev_low"], entries["prev_high"] = _halves(prev)
+                entries["place"], entries["n"], entries["cls"] = np.minimum(place, 65535), size[row], keys[row]
+                block = (mix(column) % np.uint64(blocks)).astype(np.int32)
                 order = np.argsort(block, kind="stable")
                 entries, block = entries[order], block[order]
                 which, first = np.unique(block, return_index=True)
@@ -221,6 +229,30 @@ def _entries(texts: DataFrame, frequent: np.ndarray, places: np.ndarray, blocks:
     return texts.select("text").mapInArrow(run, _SENT)
 
 
+def _halves(column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (column & np.uint64(0xFFFFFFFF)).astype(np.uint32), (column >> np.uint64(32)).astype(np.uint16)
+
+
+def _whole(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+
+
+def _chained(found: np.ndarray, picked: np.ndarray, row: np.ndarray):
+    """Column, place and column before of every entry, and the entries: of a row's entries in one column the first."""
+    column = found[picked] >> _COLUMN
+    begins = np.ones(len(row), bool)
+    begins[1:] = row[1:] != row[:-1]
+    first = np.flatnonzero(begins)
+    place = np.arange(len(row)) - np.repeat(first, np.diff(np.r_[first, len(row)]))
+    new = begins.copy()
+    new[1:] |= column[1:] != column[:-1]
+    column, place, picked, row = column[new], place[new], picked[new], row[new]
+    prev = np.zeros(len(column), np.uint64)
+    prev[1:] = column[:-1]
+    prev[place == 0] = 0
+    return column, place, prev, picked, row
+
+
 _SENT = "block int, entries binary, cls long, frequent long, n int, rest int, hashes binary"
 _SENT_TYPES = [
     pa.field("block", pa.int32()), pa.field("entries", pa.binary()), pa.field("cls", pa.int64()),
@@ -251,68 +283,67 @@ def _carriers(found, bounds, frequent, keys, rare, picked, row) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays(columns, [f.name for f in _SENT_TYPES])
 
 
-_PRODUCT = "a long, b long, n_a int, n_b int, rest int, shared int, hashes binary"
-_PRODUCT_NAMES = ["a", "b", "n_a", "n_b", "rest", "shared", "hashes"]
+_PRODUCT = "a long, b long, n_a int, n_b int, rest int, hashes binary"
+_PRODUCT_NAMES = ["a", "b", "n_a", "n_b", "rest", "hashes"]
 
 
 def _multiply(entries: np.ndarray) -> Iterator[pa.Table]:
-    """Partial overlap counts of the pairs of one block; entries of long columns as they are.
+    """The pairs of one block that may be similar; entries of long columns as they are.
 
-    Rows with ``shared`` are pairs: ``rest`` bounds what they may share beyond the counted
-    entries. Rows without are entries: ``a`` the column, ``b`` the row.
+    Rows with ``n_b`` are pairs. Rows without are entries: ``a`` the column, ``b`` the row.
     """
-    entries = entries[np.lexsort((entries["cls"], entries["h"]))]
+    h = _whole(entries["low"], entries["high"])
+    order = np.lexsort((entries["cls"], h))
+    entries, h = entries[order], h[order]
     new = np.ones(len(entries), bool)
-    new[1:] = (entries["h"][1:] != entries["h"][:-1]) | (entries["cls"][1:] != entries["cls"][:-1])
-    entries = entries[new]
-    h = entries["h"]
+    new[1:] = (h[1:] != h[:-1]) | (entries["cls"][1:] != entries["cls"][:-1])
+    entries, h = entries[new], h[new]
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
     length = np.diff(np.r_[first, len(h)])
     each = np.repeat(length, length)
-    yield _long(entries[each > SHORT])
-    entries = entries[(each > 1) & (each <= SHORT)]
-    h = entries["h"]
+    yield _long(entries[each > SHORT], h[each > SHORT])
+    short = (each > 1) & (each <= SHORT)
+    entries, h = entries[short], h[short]
     # A stretch ends at the end of a column, so a stretch is a small product of its own.
     bounds = np.flatnonzero(np.r_[True, h[1:] != h[:-1], True]) if len(h) else np.zeros(1, np.int64)
     low = 0
     while low < len(bounds) - 1:
         high = int(np.searchsorted(bounds, bounds[low] + _PAIRS // SHORT, side="right")) - 1
         high = max(high, low + 1)
-        yield _products(entries[bounds[low] : bounds[high]])
+        yield _products(entries[bounds[low] : bounds[high]], h[bounds[low] : bounds[high]])
         low = high
 
 
-def _products(e: np.ndarray) -> pa.Table:
+def _products(e: np.ndarray, h: np.ndarray) -> pa.Table:
     left, right = [], []
+    prev, size = _whole(e["prev_low"], e["prev_high"]), e["n"].astype(np.int64)
+    remains, begins = size - e["place"], e["place"] == 0
     for step in range(1, SHORT):
-        same = np.flatnonzero(e["h"][step:] == e["h"][:-step])
-        if not len(same):
+        i = np.flatnonzero(h[step:] == h[:-step])
+        if not len(i):
             break
-        small = np.minimum(e["n"][same], e["n"][same + step]).astype(np.int64)
-        large = np.maximum(e["n"][same], e["n"][same + step]).astype(np.int64)
-        fits = same[100 * small >= PERCENT * large]
-        left.append(fits)
-        right.append(fits + step)
+        j = i + step
+        # Rows that come from one column were met there, or that column is long.
+        may = (prev[i] != prev[j]) | begins[i] | begins[j]
+        may &= 100 * np.minimum(size[i], size[j]) >= PERCENT * np.maximum(size[i], size[j])
+        may &= (100 + PERCENT) * np.minimum(remains[i], remains[j]) >= PERCENT * (size[i] + size[j])
+        left.append(i[may])
+        right.append(j[may])
     i = np.concatenate(left) if left else np.zeros(0, np.int64)
     j = np.concatenate(right) if right else np.zeros(0, np.int64)
     order = np.lexsort((e["cls"][j], e["cls"][i]))
     i, j = i[order], j[order]
     a, b = e["cls"][i], e["cls"][j]
     new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, np.int64)
-    shared = np.diff(np.r_[new, len(a)])
     i, j = i[new], j[new]
-    rest = np.maximum(e["n"][i] - e["m"][i], e["n"][j] - e["m"][j])
-    return pa.table(
-        [pa.array(x) for x in (e["cls"][i], e["cls"][j], e["n"][i], e["n"][j], rest.astype(np.int32), shared.astype(np.int32))]
-        + [pa.nulls(len(i), pa.binary())],
-        _PRODUCT_NAMES,
-    )
+    none = [pa.nulls(len(i), pa.int32()), pa.nulls(len(i), pa.binary())]
+    return pa.table([*(pa.array(x) for x in (e["cls"][i], e["cls"][j], e["n"][i], e["n"][j])), *none], _PRODUCT_NAMES)
 
 
-def _long(e: np.ndarray) -> pa.Table:
+def _long(e: np.ndarray, h: np.ndarray) -> pa.Table:
     none = pa.nulls(len(e), pa.int32())
     return pa.table(
-        [pa.array(e["h"].astype(np.int64)), pa.array(e["cls"]), pa.array(e["n"]), none, none, none, pa.nulls(len(e), pa.binary())],
+        [pa.array(h.astype(np.int64)), pa.array(e["cls"]), pa.array(e["n"]), none, none, pa.nulls(len(e), pa.binary())],
         _PRODUCT_NAMES,
     )
 
@@ -331,7 +362,7 @@ def _product(entries: DataFrame) -> DataFrame:
                 none = pa.nulls(batch.num_rows, pa.int32())
                 columns = [column[k] for k in ("cls", "frequent", "n")]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, none, column["rest"], none, column["hashes"]], _PRODUCT_NAMES
+                    [*columns, none, column["rest"], column["hashes"]], _PRODUCT_NAMES
                 )
         if held:
             for table in _multiply(np.concatenate(held)):
@@ -417,21 +448,6 @@ def _fits(x: str, y: str):
     return small * 100 >= large * PERCENT
 
 
-def _counted_pairs(product: DataFrame, noisy: DataFrame) -> DataFrame:
-    """Pairs of short columns that may reach the bound of their sizes.
-
-    A pair has J >= t if it shares t / (1 + t) of both sizes' sum. Entries of long columns are
-    not counted, so pairs whose rows both have such an entry stay whatever their count.
-    """
-    pairs = product.where("shared IS NOT NULL").groupBy("a", "b", "n_a", "n_b").agg(
-        F.sum("shared").alias("shared"), F.max("rest").alias("rest")
-    )
-    marked = pairs.join(noisy.select(F.col("cls").alias("a"), F.lit(True).alias("noisy_a")), "a", "left")
-    marked = marked.join(noisy.select(F.col("cls").alias("b"), F.lit(True).alias("noisy_b")), "b", "left")
-    reach = (F.col("shared") + F.col("rest")) * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT
-    return marked.where(reach | (F.col("noisy_a") & F.col("noisy_b"))).select("a", "b")
-
-
 def _bucket(n):
     return F.floor(F.log(n) / math.log(100 / PERCENT)).cast("int")
 
@@ -453,9 +469,12 @@ def _reach():
 
 
 def _leader_pairs(entries: DataFrame) -> DataFrame:
-    """Every row of a column with the column's leader of its size and of the next size up."""
+    """Every row of a column with the column's leader of its size and of the next size up.
+
+    The leader is the row that has the least besides frequent shingles.
+    """
     sized = entries.withColumn("bucket", _bucket(F.col("n")))
-    leader = F.min(F.struct("cls", "n", "rest")).alias("leader")
+    leader = F.min_by(F.struct("cls", "n", "rest"), F.struct(-F.col("rest") / F.col("n"), "cls")).alias("leader")
     leaders = sized.groupBy("h", "bucket").agg(leader).select(
         "h", "bucket", F.col("leader.cls").alias("b"), F.col("leader.n").alias("n_b"), F.col("leader.rest").alias("rest_b")
     )
@@ -464,31 +483,29 @@ def _leader_pairs(entries: DataFrame) -> DataFrame:
     return pairs.select(*_pair("cls", "b")).distinct()
 
 
-def _across(entries: DataFrame, roots: DataFrame) -> DataFrame:
+def _across(entries: DataFrame) -> DataFrame:
     """Pairs of rows that share a column and are not in one component yet.
 
-    Rows with the same columns meet as one: first the sets of columns are paired, then the
-    components below them, then their rows. At the first column that two kinds share, what they can
-    share is no more than either has from there on; kinds for which that is too little at a column
-    do not meet there.
+    Rows with the same columns, component and size meet as one, then their rows. At the first column
+    that two kinds share, what they can share is no more than either has from there on; kinds for
+    which that is too little at a column do not meet there, nor those that come from one column.
+    Most rows of a column are in one component; the others meet all, so copies do not meet each other.
     """
-    kinds = entries.groupBy("h", "kind").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("rest") - F.col("place")).alias("most")
-    )
-    others = kinds.select("h", *(F.col(c).alias(f"{c}_b") for c in ("kind", "low", "high", "most")))
-    met = kinds.join(others, "h").where((F.col("kind") <= F.col("kind_b")) & _reach())
-    met = met.select("kind", "kind_b").distinct()
-    rows = entries.select("kind", "cls", "n", "rest").distinct()
-    placed = rows.join(roots, "cls", "left").select(
-        "kind", "cls", "n", "rest", F.coalesce("root", "cls").alias("root"), _bucket(F.col("n")).alias("bucket")
-    )
-    spans = placed.groupBy("kind", "root", "bucket").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("most")
-    )
-    other = spans.select(*(F.col(c).alias(f"{c}_b") for c in spans.columns))
+    sized = entries.withColumn("bucket", _bucket(F.col("n")))
+    spans = sized.groupBy("h", "kind", "root", "bucket").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("rest") - F.col("place")).alias("most"),
+        F.first("before").alias("before"),
+    )
+    sizes = spans.groupBy("h", "root").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("h").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("roots"))
+    spans = stored(spans.join(main.where("roots > 1").drop("roots"), "h"))
+    others = spans.drop("main").select("h", *(F.col(c).alias(f"{c}_b") for c in spans.columns if c not in ("h", "main")))
+    once = (F.col("root_b") == F.col("main")) | (F.struct("kind", "root") < F.struct("kind_b", "root_b"))
+    begins = F.col("before").isNull() | F.col("before_b").isNull() | (F.col("before") != F.col("before_b"))
     apart = (F.col("root") != F.col("root_b")) & F.abs(F.col("bucket") - F.col("bucket_b")).isin(0, 1)
-    both = met.join(spans, "kind").join(other, "kind_b").where(apart & _reach())
+    both = spans.where("root != main").join(others, "h").where(apart & begins & once & _reach())
     both = both.select("kind", "root", "bucket", "kind_b", "root_b", "bucket_b").distinct()
+    placed = sized.select("kind", "cls", "n", "rest", "root", "bucket").distinct()
     members = placed.select(*(F.col(c).alias(f"{c}_b") for c in placed.columns))
     pairs = both.join(placed, ["kind", "root", "bucket"]).join(members, ["kind_b", "root_b", "bucket_b"])
     pairs = pairs.where(_may("n", "n_b", "rest", "rest_b") & (F.col("cls") != F.col("cls_b")))
@@ -580,9 +597,8 @@ def _links(texts: DataFrame, summaries: DataFrame, classes: DataFrame) -> DataFr
     total = summaries.where("n > 0").agg(F.sum(F.col("n") / 4 + 1)).first()[0] or 0
     blocks = max(1, math.ceil(total / BLOCK_ENTRIES))
     product = stored(_product(_entries(texts, frequent, places, blocks)))
-    entry = "shared IS NULL AND hashes IS NULL"
+    entry = "n_b IS NULL AND hashes IS NULL"
     long = product.where(entry).select(F.col("a").alias("h"), F.col("b").alias("cls"), F.col("n_a").alias("n"))
-    noisy = long.select("cls").distinct()
     carriers = product.where("hashes IS NOT NULL").select(
         F.col("a").alias("cls"), F.col("b").alias("frequent"), F.col("n_a").alias("n"), "rest", "hashes"
     ).dropDuplicates(["cls"])
@@ -595,10 +611,13 @@ def _links(texts: DataFrame, summaries: DataFrame, classes: DataFrame) -> DataFr
     members = stored(carriers.join(heads, ["frequent", "n"]).where("cls != head").select("cls", "head", "n", "rest"))
     alike = members.where((100 + PERCENT) * F.col("rest") >= 2 * PERCENT * F.col("n"))
     alike = alike.select(*_pair("cls", "head"))
-    # What rows of long columns share beyond the counted entries is not known: up to all.
+    # What rows of long columns share is not known: up to all.
     entries = stored(
         _spread(groups).unionByName(
-            long.select("h", F.lit(0).alias("place"), F.col("cls").alias("kind"), "cls", "n", F.col("n").alias("rest"))
+            long.select(
+                "h", F.lit(0).alias("place"), F.lit(None).cast("long").alias("before"), F.col("cls").alias("kind"),
+                "cls", "n", F.col("n").alias("rest"),
+            )
         )
     )
     signed = stored(summaries.where("n > 0").select("cls", "n", "bits").dropDuplicates(["cls"]))
@@ -607,13 +626,13 @@ def _links(texts: DataFrame, summaries: DataFrame, classes: DataFrame) -> DataFr
         ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         return _verified(pairs, _texts_of(texts, stored(ends.join(classes, "cls"))), frequent)
 
-    counted = stored(_near(_counted_pairs(product, noisy), signed))
+    counted = stored(_near(product.where("n_b IS NOT NULL").select("a", "b").distinct(), signed))
     partner = counted.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     tried = stored(partner.unionByName(_near(_leader_pairs(entries), signed)).distinct())
     links = stored(_widened(stored(verified(tried)), members).unionByName(alike))
     roots = stored(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     more = stored(
-        _outside(counted, roots).unionByName(_near(_across(entries, _settled(roots, members)), signed))
+        _outside(counted, roots).unionByName(_near(_across(_rooted(entries, _settled(roots, members))), signed))
         .distinct().join(tried, ["a", "b"], "left_anti")
     )
     if more.isEmpty():
@@ -621,10 +640,14 @@ def _links(texts: DataFrame, summaries: DataFrame, classes: DataFrame) -> DataFr
     return links.unionByName(stored(_widened(stored(verified(more)), members)))
 
 
+def _rooted(entries: DataFrame, roots: DataFrame) -> DataFrame:
+    return stored(entries.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")))
+
+
 def _spread(groups: DataFrame) -> DataFrame:
-    """The columns of the groups' heads: ``h, place, kind, cls, n, rest``; equal sets of columns are one kind.
+    """The columns of the groups' heads: ``h, place, before, kind, cls, n, rest``; equal sets of columns are one kind.
 
-    ``place`` counts the head's frequent shingles that come before.
+    ``place`` counts the head's frequent shingles that come before, ``before`` is the last of them.
     """
 
     @F.arrow_udf("array<long>")
@@ -633,10 +656,10 @@ def _spread(groups: DataFrame) -> DataFrame:
         values = pa.array(np.frombuffer(buf.tobytes(), "<i8"))
         return pa.LargeListArray.from_arrays(pa.array(at // 8), values).cast(pa.list_(pa.int64()))
 
-    rows = groups.select(
-        F.posexplode(unpacked("hashes")).alias("place", "h"), F.xxhash64("hashes").alias("kind"), "cls", "n", "rest"
-    )
-    return rows.select("h", "place", "kind", "cls", "n", "rest")
+    rows = groups.select(unpacked("hashes").alias("columns"), F.xxhash64("hashes").alias("kind"), "cls", "n", "rest")
+    rows = rows.select(F.posexplode("columns").alias("place", "h"), "columns", "kind", "cls", "n", "rest")
+    before = F.get("columns", F.col("place") - 1).alias("before")
+    return rows.select("h", "place", before, "kind", "cls", "n", "rest")
 
 
 def _widened(verified: DataFrame, members: DataFrame) -> DataFrame:

@@ -130,3 +130,61 @@ def test_pairs_of_texts_are_compared_whole():
     every = jaccard_join.shingle_sets(np.frombuffer(" ".join(words).encode(), np.uint8), np.array([0, len(" ".join(words))]))[0]
     assert jaccard_join.similar(*texts, np.zeros(0, np.uint64)).tolist() == [1, 1, 0, 1]
     assert jaccard_join.similar(*texts, every).tolist() == [2, 2, 0, 2]
+
+
+def _entries(sets, blocks):
+    """The packed entries of sets of hashes, by block, as the product gets them."""
+    import numpy as np
+
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    out = {}
+    found = np.concatenate([np.sort(np.array(s, np.uint64)) for s in sets])
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    keys, size = jaccard_join.set_keys(found, bounds), np.diff(bounds)
+    column, place, prev, picked, row = jaccard_join._chained(found, *(x for x in jaccard_join.prefix(found, bounds, *none)[::2]))
+    e = np.empty(len(picked), jaccard_join._ENTRY)
+    e["low"], e["high"] = jaccard_join._halves(column)
+    e["prev_low"], e["prev_high"] = jaccard_join._halves(prev)
+    e["place"], e["n"], e["cls"] = place, size[row], keys[row]
+    for b in range(blocks):
+        out[b] = e[jaccard_join.mix(column) % np.uint64(blocks) == b]
+    return keys.tolist(), out
+
+
+@pytest.mark.parametrize("spread", [1, 1 << 20, 1 << 40])
+def test_product_finds_every_similar_pair_and_near_copies_in_few_blocks(spread):
+    """``spread`` 1 puts many shingles in one column, which must not lose a pair."""
+    rng = random.Random(11)
+    base = [rng.randrange(1 << 22) * spread for _ in range(400)]
+    sets = [set(base) - set(rng.sample(base, 4)) | {rng.randrange(1 << 22) * spread for _ in range(4)} for _ in range(12)]
+    sets += [{rng.randrange(1 << 22) * spread for _ in range(300)} | set(base[:40]) for _ in range(12)]
+    keys, blocks = _entries([sorted(s) for s in sets], 64)
+    given = []
+    for entries in blocks.values():
+        for table in jaccard_join._multiply(entries):
+            given += [frozenset(p) for p, n in zip(zip(*table.select(["a", "b"]).to_pydict().values()), table["n_b"].to_pylist()) if n]
+    similar = {
+        frozenset((keys[i], keys[j]))
+        for i, j in itertools.combinations(range(len(sets)), 2)
+        if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])
+    }
+    assert len(similar) == 66 and similar <= set(given)
+    # Each of these pairs shares some 95 of its first entries, so it was given in most of the 64 blocks.
+    assert sum(p in similar for p in given) < 8 * len(similar)
+
+
+def test_leaders_are_the_rows_nearest_to_what_is_copied(spark):
+    """A column's rows are compared with the one that is frequent shingles all through, whatever its class."""
+    rows = [(7, 0, None, cls, cls, 100, rest) for cls, rest in [(1, 88), (2, 93), (3, 100), (4, 90)]]
+    entries = spark.createDataFrame(rows, "h long, place int, before long, kind long, cls long, n int, rest int")
+    pairs = {tuple(r) for r in jaccard_join._leader_pairs(entries).collect()}
+    assert pairs == {(1, 3), (2, 3), (3, 4)}
+
+
+def test_rows_of_one_component_do_not_meet_again(spark):
+    """Of 200 copies in one component and a row outside, the pairs with that row only are made."""
+    rows = [(h, h, h - 1 if h else None, c, c, 100 + c % 3, 100, -1) for c in range(200) for h in range(3)]
+    rows += [(h, h, h - 1 if h else None, 900, 900, 100, 100, 900) for h in range(3)]
+    schema = "h long, place int, before long, kind long, cls long, n int, rest int, root long"
+    pairs = {tuple(r) for r in jaccard_join._across(spark.createDataFrame(rows, schema)).collect()}
+    assert pairs == {(c, 900) for c in range(200)}
