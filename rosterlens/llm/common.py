@@ -6,11 +6,12 @@ shingles and fingerprints are array operations. A slice is bounded in bytes; a t
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from pathlib import Path
 
@@ -138,6 +139,20 @@ def text_slices(
         high = min(max(high, low + 1), n)
         yield low, high, buf[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high
+    give_back()
+
+
+@cache
+def _trim() -> Callable[[int], int] | None:
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system; a worker goes on to later stages and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim is not None:
+        trim(0)
 
 
 # ---- words and hashes -------------------------------------------------------------------------
