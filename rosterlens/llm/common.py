@@ -126,11 +126,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_slices(
-    column: pa.Array, limit: int = SLICE_BYTES
+    column: pa.Array, limit: int = SLICE_BYTES, keep: bool = False
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about ``limit`` bytes: first row, row after the last, bytes, offsets.
 
-    A text longer than the limit is a slice of its own.
+    A text longer than the limit is a slice of its own. ``keep`` leaves freed memory with the worker.
     """
     buf, offsets = text_bytes(column)
     low, n = 0, len(offsets) - 1
@@ -139,7 +139,8 @@ def text_slices(
         high = min(max(high, low + 1), n)
         yield low, high, buf[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high
-    give_back()
+    if not keep:
+        give_back()
 
 
 @cache

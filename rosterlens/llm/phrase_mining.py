@@ -118,7 +118,7 @@ def _languages(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 def _parts(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, lower-case bytes and offsets of slices; a long text is cut between its pieces."""
-    for low, _, buf, offsets in text_slices(column, SLICE_BYTES):
+    for low, _, buf, offsets in text_slices(column, SLICE_BYTES, keep=True):
         if len(buf) <= 2 * SLICE_BYTES:
             yield low, LOWER[buf], offsets
             continue
